@@ -1,8 +1,8 @@
 """Lookups into dimensions.
 
-Sides are broadcast on Spark's own size check (``spark.sql.autoBroadcastJoinThreshold``, and again at run
-time by adaptive execution); beyond it the join shuffles and adaptive execution splits hot partitions.
-The explicit ``broadcast`` below is used for sides whose size is bounded by construction.
+A dimension is broadcast only when its size is known: bounded by construction, counted by :func:`sized`, or
+below Spark's own threshold.  Any other one is joined by a shuffle, where adaptive execution splits the
+partitions of hot keys.
 """
 
 from __future__ import annotations
@@ -13,6 +13,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN_KEY = -1
+BROADCAST_ROWS = 500_000
+
+
+def sized(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a dimension for broadcast if it is counted to hold at most ``max_rows`` rows.
+
+    Spark multiplies the sizes of joined inputs when it plans, so a small dimension that is itself a join
+    looks huge, and every fact would be shuffled for it.  Counting the dimension costs little beside that.
+    A larger dimension is returned as it is.
+    """
+    return F.broadcast(dimension) if dimension.count() <= max_rows else dimension
 
 
 def lookup(
@@ -90,8 +101,8 @@ def valid_at(
     about ``max_versions`` versions each: a version is repeated in the slices it touches, a fact falls into
     one.  The result is the same, the work per key becomes linear, and a hot key spreads over tasks.
 
-    The list of such keys is fetched only up to ``inline_limit`` entries and broadcast when it fits;
-    a longer list is joined like any other table.
+    Such keys are counted first.  Up to ``inline_limit`` of them are broadcast to the facts; a longer list
+    is joined like any other table, and without any the lookup is a plain join.
     """
     side = versions.select(
         F.col(version_key).alias("__key"),
@@ -100,12 +111,12 @@ def valid_at(
         *(F.col(column).alias(f"__{name}") for name, column in take.items()),
     )
     long_keys = _long_histories(side, "__key", "__start", max_versions)
-    head = long_keys.limit(inline_limit + 1).collect()
+    found = long_keys.limit(inline_limit + 1).count()
     matches = (F.col(fact_key) == F.col("__key")) & (F.col(at) > F.col("__start")) & (F.col(at) <= F.col("__end"))
     left = facts
-    if head:
-        if len(head) <= inline_limit:
-            long_keys = F.broadcast(facts.sparkSession.createDataFrame(head, long_keys.schema))
+    if found:
+        if found <= inline_limit:
+            long_keys = F.broadcast(long_keys)
         helper = ["__long_key", "__lo", "__hi", "__slices"]
         left = (
             facts.join(long_keys, F.col(fact_key) == F.col("__long_key"), "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wheelhouse.functions import dates, geo, weather
 from wheelhouse.functions.hashing import money, plain_hash
-from wheelhouse.operators.joins import UNKNOWN_KEY, lookup, valid_at
+from wheelhouse.operators.joins import UNKNOWN_KEY, lookup, sized, valid_at
 from wheelhouse.operators.limits import above_watermark
 from wheelhouse.operators.mutate import incoming, merge
 
@@ -27,6 +27,7 @@ def ride_measures(
     ``user_id``.  ``axis="lonlat"`` swaps the axes of every point.
     """
     valid = rides.where(F.col("start_time") <= F.col("end_time"))
+    places = sized(places)
     for side in ("start", "end"):
         take = {f"{side}_station_lat": "lat", f"{side}_station_lon": "lon", f"{side}_zipcode": "zipcode"}
         valid = lookup(valid, places, on={f"{side}_lock_id": "lock_id"}, take=take)
@@ -72,6 +73,7 @@ def ride_facts(
     ``user_lookup`` is ``"current"`` (the current version of the user) or ``"asof"`` (the version valid
     when the ride started).  The date and weather members are bounded by the calendar and by four rows.
     """
+    dim_user, dim_lock, hourly_weather = sized(dim_user), sized(dim_lock), sized(hourly_weather)
     facts = lookup(measures, dim_date, on={"ride_date": "date"}, take={"date_sk": "date_sk"}, default=UNKNOWN_KEY, small=True)
     if user_lookup == "current":
         facts = lookup(facts, dim_user, on={"user_id": "user_id"}, take={"user_sk": "user_sk"}, only=F.col("is_current"))
@@ -122,7 +124,7 @@ def sales_facts(sales: DataFrame, dim_date: DataFrame, dim_salesrep: DataFrame,
     )
     versioned = valid_at(
         dated,
-        dim_salesrep,
+        sized(dim_salesrep),
         "salesrep_id",
         "salesrep_id",
         "order_date",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wheelhouse.functions import dates
 from wheelhouse.functions.text import prefixed, street_line
+from wheelhouse.operators.joins import sized
 
 PROPERTIES = "properties"
 
@@ -20,7 +21,7 @@ def ride_base(
     stations: DataFrame,
 ) -> DataFrame:
     """Rides with vehicle, user and both stations; the end station is optional."""
-    placed = locks.join(stations, "station_id")
+    placed = sized(locks.join(stations, "station_id"))
 
     def side(name: str) -> DataFrame:
         columns = ("station_id", "street", "district", "number", "zipcode")
@@ -32,7 +33,7 @@ def ride_base(
         rides.select("ride_id", "start_time", "end_time", "vehicle_id", "subscription_id", "start_lock_id", "end_lock_id")
         .join(vehicles.select("vehicle_id", "serial_number"), "vehicle_id")
         .join(subscriptions.select("subscription_id", "user_id"), "subscription_id")
-        .join(users.select("user_id", "email", "city"), "user_id")
+        .join(sized(users.select("user_id", "email", "city")), "user_id")
         .join(side("start"), "start_lock_id")
         .join(side("end"), "end_lock_id", "left")
     )

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 def date_sequence(spark: SparkSession, first: str, last: str) -> DataFrame:
     """One row per day from ``first`` to ``last``; ``origin`` repeats the first day."""
-    ends = spark.range(1).select(F.lit(first).cast("date").alias("origin"), F.lit(last).cast("date").alias("until"))
+    ends = spark.range(0, 1, 1, 1).select(F.lit(first).cast("date").alias("origin"), F.lit(last).cast("date").alias("until"))
     return _days_between(ends)
 
 
@@ -32,5 +32,12 @@ def _days_between(ends: DataFrame) -> DataFrame:
 
 
 def inline_rows(spark: SparkSession, rows: Sequence[tuple], schema: T.StructType | str) -> DataFrame:
-    """A handful of fixed members with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """A handful of fixed members with an explicit schema.
+
+    The rows are literals of the plan: Spark then knows that they are few and broadcasts what they join.
+    """
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    members = [
+        F.struct(*(F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(fields, row))) for row in rows
+    ]
+    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*members)))
