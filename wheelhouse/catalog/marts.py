@@ -11,7 +11,10 @@ from wheelhouse.catalog.registry import query
 from wheelhouse.functions import weather
 from wheelhouse.operators import limits
 from wheelhouse.plans import dimensions, facts, graph, rides, sales, words
+from wheelhouse.session import scratch_dir
+from wheelhouse.sinks.files import staged, write_parquet
 from wheelhouse.sources import generated
+from wheelhouse.sources.files import read_parquet
 
 AS_OF = "1998-12-31 00:00:00"
 
@@ -132,13 +135,20 @@ def measured(t: Tables, source: DataFrame | None = None) -> DataFrame:
     return measures.withColumn("ride_distance", F.round("ride_distance", 3))
 
 
-def fact_rides(t: Tables, measures: DataFrame, user_lookup: str = "current") -> DataFrame:
+def staged_weather(t: Tables) -> DataFrame:
+    """The weather per hour, parsed once and kept as a staging table."""
+    return staged(dimensions.weather_hourly(t.weather_documents), "weather-hourly")
+
+
+def fact_rides(
+    t: Tables, measures: DataFrame, user_lookup: str = "current", hourly: DataFrame | None = None
+) -> DataFrame:
     return facts.ride_facts(
         measures,
         t.dim_date,
         t.dim_user,
         t.dim_lock,
-        dimensions.weather_hourly(t.weather_documents),
+        staged_weather(t) if hourly is None else hourly,
         dimensions.weather_members(t.spark),
         user_lookup,
     )
@@ -169,11 +179,14 @@ def fact_ride_asof(t: Tables) -> DataFrame:
 
 @query("fact_ride_incremental", with_tables(FACT_TABLES, FACTS, measures=MEASURES))
 def fact_ride_incremental(t: Tables) -> DataFrame:
-    """A first load up to the greatest customer key and an increment on top give the full fact."""
+    """A first load up to the greatest customer key, and one more run that appends what came after it."""
+    path, hourly = scratch_dir(t.spark, "fact-ride"), staged_weather(t)
     border = limits.high_watermark(t.customer, "c_custkey")
-    loaded = fact_rides(t, measured(t, t.order_rides.where(F.col("ride_id") <= border)))
-    increment = fact_rides(t, measured(t, facts.new_rides(t.order_rides, loaded)))
-    return loaded.unionByName(increment)
+    first = measured(t, t.order_rides.where(F.col("ride_id") <= border))
+    write_parquet(fact_rides(t, first, hourly=hourly), path)
+    rest = facts.new_rides(t.order_rides, read_parquet(t.spark, path))
+    write_parquet(fact_rides(t, measured(t, rest), hourly=hourly), path, mode="append")
+    return read_parquet(t.spark, path)
 
 
 SALES_FACTS = """SELECT order_id, date_sk, salesrep_sk, 1 AS count_mv, amount AS revenue_mv,

@@ -125,30 +125,30 @@ def join_asof_validity(t: Tables) -> DataFrame:
 
 @query(
     "join_asof_long_histories",
-    """WITH prices AS (SELECT o_custkey AS customer, o_totalprice AS price, o_orderdate AS starts,
-            o_orderdate + INTERVAL 90 DAY AS ends FROM orders),
+    """WITH months AS (SELECT o_custkey AS customer, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS starts,
+            round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1, 2),
         visits AS (SELECT event_id, user_id, TIMESTAMP '1995-01-01 12:00:00' + to_days(CAST(event_id % 2400 AS INT)) AS seen_at
                    FROM events)
-        SELECT event_id, user_id, seen_at, round(sum(price), 2) AS price, count(price) AS hits FROM visits
-        LEFT JOIN prices ON customer = user_id AND seen_at > starts AND seen_at <= ends
-        GROUP BY event_id, user_id, seen_at""",
+        SELECT event_id, user_id, seen_at, spent FROM visits
+        LEFT JOIN months ON customer = user_id AND seen_at > starts AND seen_at <= starts + INTERVAL 1 MONTH""",
 )
 def join_asof_long_histories(t: Tables) -> DataFrame:
-    """The same lookup with overlapping versions, and histories cut into slices of about four versions."""
-    prices = t.orders.select(
-        F.col("o_custkey").alias("customer"),
-        F.col("o_totalprice").alias("price"),
-        F.col("o_orderdate").alias("starts"),
-        (F.col("o_orderdate") + F.make_dt_interval(F.lit(90))).alias("ends"),
+    """The same lookup into monthly versions, with histories cut into slices of about four versions."""
+    month = F.trunc("o_orderdate", "month")
+    months = t.orders.groupBy(F.col("o_custkey").alias("customer"), month.alias("month")).agg(
+        F.round(F.sum("o_totalprice"), 2).alias("spent")
+    )
+    versions = months.select(
+        "customer",
+        "spent",
+        F.col("month").cast("timestamp_ntz").alias("starts"),
+        F.add_months("month", 1).cast("timestamp_ntz").alias("ends"),
     )
     day = F.make_dt_interval((F.col("event_id") % 2400).cast("int"))
     noon = F.lit("1995-01-01 12:00:00").cast("timestamp_ntz")
     visits = t.events.select("event_id", "user_id", (noon + day).alias("seen_at"))
-    found = joins.valid_at(
-        visits, prices, "user_id", "customer", "seen_at", "starts", "ends", {"price": "price"}, max_versions=4
-    )
-    return found.groupBy("event_id", "user_id", "seen_at").agg(
-        F.round(F.sum("price"), 2).alias("price"), F.count("price").alias("hits")
+    return joins.valid_at(
+        visits, versions, "user_id", "customer", "seen_at", "starts", "ends", {"spent": "spent"}, max_versions=4
     )
 
 

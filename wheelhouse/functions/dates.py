@@ -43,9 +43,13 @@ def month_name(day: Column) -> Column:
     return F.date_format(day, "MMMM")
 
 
+def _micros(moment: Column) -> Column:
+    return F.unix_micros(moment.cast("timestamp"))
+
+
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Seconds between two moments as a double, negative when ``end`` comes first."""
-    return F.timestamp_diff("MICROSECOND", start, end) / F.lit(1_000_000.0)
+    return (_micros(end) - _micros(start)) / F.lit(1_000_000.0)
 
 
 def elapsed_minutes(start: Column, end: Column) -> Column:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wheelhouse.functions import dates, weather
 from wheelhouse.operators.keys import latest_per_key
+from wheelhouse.operators.layout import spread
 from wheelhouse.sources.files import WEATHER_SCHEMA, json_paths, parse_json
 from wheelhouse.sources.generated import date_sequence, inline_rows
 
@@ -70,7 +71,7 @@ def weather_members(spark: SparkSession) -> DataFrame:
 def weather_staging(documents: DataFrame, text: str = "value", zone: str = "UTC") -> DataFrame:
     """Weather documents as typed rows with their category."""
     doc = parse_json(F.col(text), WEATHER_SCHEMA)
-    parsed = documents.select(doc.alias("doc")).select(
+    parsed = spread(documents.select(text)).select(doc.alias("doc")).select(
         F.col("doc.zipCode").alias("postal_code"),
         dates.from_epoch(F.col("doc.dt"), zone).alias("timestamp"),
         F.get(F.col("doc.weather"), F.lit(0))["main"].alias("weather_condition"),
@@ -86,7 +87,7 @@ def weather_hourly(documents: DataFrame, text: str = "value", dedupe: bool = Tru
     every report, which repeats a ride for each report of its hour.
     """
     reports = json_paths(
-        documents,
+        spread(documents.select(text)),
         text,
         {
             "zipcode": ("$.zipCode", "string"),

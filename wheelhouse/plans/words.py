@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wheelhouse.functions.text import clean_word, first_letter, words_of
+from wheelhouse.operators.layout import spread
 
 
 def words(lines: DataFrame, text: str) -> DataFrame:
     """One row per word; empty strings between neighbouring blanks are left out."""
-    return lines.select(F.explode(words_of(F.col(text))).alias("word")).where(F.col("word") != "")
+    return spread(lines.select(text)).select(F.explode(words_of(F.col(text))).alias("word")).where(F.col("word") != "")
 
 
 def word_counts(lines: DataFrame, text: str) -> DataFrame:

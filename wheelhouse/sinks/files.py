@@ -7,11 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wheelhouse.session import scratch_dir
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).parquet(path)
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written once to the shared scratch folder, for results that several later steps read."""
+    path = scratch_dir(df.sparkSession, purpose)
+    write_parquet(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "overwrite", max_records_per_file: int = 0) -> None:
     """Partition folders with a sensible number of files.
 
