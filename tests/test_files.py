@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wheelhouse import session
+from wheelhouse.operators.layout import spread
 from wheelhouse.sinks import files as sink
 from wheelhouse.sources import files as source
 from wheelhouse.sources.generated import date_sequence, dates_covering, inline_rows
@@ -50,6 +51,28 @@ def test_dominant_partition_is_written_by_several_tasks(spark, tmp_path):
     assert len(list((tmp_path / "y" / "year=2019").glob("*.parquet"))) == 1
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, plan):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("bucketed_rides", "bucketed_subscriptions"):
+            df = spark.range(100).withColumnRenamed("id", "subscription_id")
+            sink.save_table(df, name, path=str(tmp_path / name), buckets=4, bucket_by=["subscription_id"])
+        joined = spark.table("bucketed_rides").join(spark.table("bucketed_subscriptions"), "subscription_id")
+        assert joined.count() == 100
+        assert "SortMergeJoin" in plan(joined) and "Exchange" not in plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in ("bucketed_rides", "bucketed_subscriptions"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_spread_moves_only_few_pieces(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
+    many = spark.range(0, 100, 1, cores)
+    assert spread(many) is many
+
+
 def test_row_counts(spark, tmp_path):
     path = str(tmp_path / "t")
     sink.write_parquet(spark.range(3), path)

@@ -40,12 +40,16 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark, self.folder = spark, folder.rstrip("/")
+        self._opened: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(self.path(name))
+        """A table; its files are listed once."""
+        if name not in self._opened:
+            self._opened[name] = self.spark.read.parquet(self.path(name))
+        return self._opened[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in BASE_TABLES:

@@ -33,9 +33,24 @@ def write_partitioned(df: DataFrame, path: str, by: Sequence[str], mode: str = "
     writer.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | None = None) -> None:
-    """A catalog table; with ``path`` its files lie on shared storage."""
+def save_table(
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    path: str | None = None,
+    buckets: int = 0,
+    bucket_by: Sequence[str] = (),
+) -> None:
+    """A catalog table; with ``path`` its files lie on shared storage.
+
+    Tables that are joined again and again on the same key can be stored in the same number of buckets of
+    that key; their joins then need no shuffle.
+    """
+    if buckets:
+        df = df.repartition(buckets, *bucket_by)
     writer = df.write.mode(mode).format("parquet")
+    if buckets:
+        writer = writer.bucketBy(buckets, *bucket_by).sortBy(*bucket_by)
     (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
