@@ -28,6 +28,9 @@ from wheelhouse.sinks.graph import write_graph
 from wheelhouse.sources import files as source
 from wheelhouse.sources import versioned
 
+LINES_SQL = """SELECT unnest(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)))
+        AS value FROM documents"""
+
 # --- sources -------------------------------------------------------------------------------------
 
 
@@ -51,8 +54,7 @@ def scan_csv(t: Tables) -> DataFrame:
 
 @query(
     "scan_text_lines",
-    """SELECT value, count(*) AS times FROM (SELECT unnest(string_split(replace(replace(text, chr(13) || chr(10), chr(10)), chr(13), chr(10)), chr(10)))
-        AS value FROM documents) GROUP BY value""",
+    f"SELECT value, count(*) AS times FROM ({LINES_SQL}) GROUP BY value",
 )
 def scan_text_lines(t: Tables) -> DataFrame:
     """Whole documents written as text and read line by line."""
@@ -188,15 +190,14 @@ def save_managed_table(t: Tables) -> DataFrame:
 
 @query(
     "write_text_counts",
-    """SELECT letter || ',' || CAST(count(*) AS VARCHAR) AS value FROM (
-        SELECT substr(word, 1, 1) AS letter FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents)
-        WHERE word <> '' AND regexp_matches(word, '^[^\\s]')) GROUP BY letter""",
+    f"""SELECT substr(word, 1, 1) || ',' || CAST(count(*) AS VARCHAR) AS value
+        FROM (SELECT unnest(string_split(value, ' ')) AS word FROM ({LINES_SQL})) WHERE word <> '' GROUP BY substr(word, 1, 1)""",
 )
 def write_text_counts(t: Tables) -> DataFrame:
-    """Letter counts as text lines; a line break cannot be the first letter of a line."""
+    """Counts of first letters over all lines, as text lines."""
     path = scratch_dir(t.spark, "letters")
-    spoken = words.word_counts(t.documents, "text").where(F.regexp_like("word", F.lit(r"^[^\s]")))
-    sink.write_pairs_as_text(words.letter_counts(spoken), path, ["letter", "amount"])
+    counted = words.word_counts(words.lines_of(t.documents, "text"), "value")
+    sink.write_pairs_as_text(words.letter_counts(counted), path, ["letter", "amount"])
     return source.read_lines(t.spark, path)
 
 

@@ -58,19 +58,19 @@ def dim_weather(t: Tables) -> DataFrame:
 @query(
     "scan_inline_rows",
     with_tables(
-        "weather_members",
-        """SELECT weather_type, count(event_id) AS cold_events FROM weather_members
-        LEFT JOIN events ON event_id % 4 + 1 = weather_id AND value < 10 GROUP BY weather_type""",
+        "weather weather_members",
+        """SELECT m.weather_type, count(event_id) AS reports FROM weather_members m LEFT JOIN (
+            SELECT event_id, CASE WHEN condition LIKE '%rain%' OR condition = 'Rain' THEN 'Unpleasant'
+            WHEN condition = 'Clear' AND kelvin > 288.15::DOUBLE THEN 'Pleasant' ELSE 'Neutral' END AS weather_type FROM weather) r
+        ON r.weather_type = m.weather_type GROUP BY m.weather_type""",
     ),
 )
 def scan_inline_rows(t: Tables) -> DataFrame:
-    """Literal members joined to the events that fall to them."""
+    """Literal members joined to the reports that fall to them."""
     members = generated.inline_rows(t.spark, weather.WEATHER_MEMBERS, "weather_id int, weather_type string")
-    cold = t.events.where(F.col("value") < 10).groupBy((F.col("event_id") % 4 + 1).alias("weather_id"))
-    counted = cold.agg(F.count(F.lit(1)).alias("n"))
-    return members.join(counted, "weather_id", "left").select(
-        "weather_type", F.coalesce("n", F.lit(0)).alias("cold_events")
-    )
+    rule = weather.weather_type(F.col("condition"), F.col("kelvin"))
+    used = t.weather.groupBy(rule.alias("weather_type")).agg(F.count(F.lit(1)).alias("n"))
+    return members.join(used, "weather_type", "left").select("weather_type", F.coalesce("n", F.lit(0)).alias("reports"))
 
 
 @query(

@@ -12,5 +12,7 @@ def spread(df: DataFrame) -> DataFrame:
     file, would otherwise keep one core busy.  An input with enough pieces is returned as it is, so at
     scale nothing is moved.  Only for plans without a shuffle, whose number of pieces is known beforehand.
     """
+    if df.isStreaming:
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

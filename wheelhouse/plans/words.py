@@ -9,9 +9,15 @@ from wheelhouse.functions.text import clean_word, first_letter, words_of
 from wheelhouse.operators.layout import spread
 
 
+def lines_of(documents: DataFrame, text: str) -> DataFrame:
+    """One row per line of every document, in column ``value``."""
+    return spread(documents.select(text)).select(F.explode(F.split(F.col(text), r"\r\n|\r|\n")).alias("value"))
+
+
 def words(lines: DataFrame, text: str) -> DataFrame:
     """One row per word; empty strings between neighbouring blanks are left out."""
-    return spread(lines.select(text)).select(F.explode(words_of(F.col(text))).alias("word")).where(F.col("word") != "")
+    separated = spread(lines.select(text)).select(F.explode(words_of(F.col(text))).alias("word"))
+    return separated.where(F.col("word") != "")
 
 
 def word_counts(lines: DataFrame, text: str) -> DataFrame:
