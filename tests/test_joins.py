@@ -93,7 +93,7 @@ def test_sized_broadcasts_only_what_is_counted_small(spark, final_plan):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         plans = [
-            final_plan(joins.lookup(facts, joins.sized(dim, bound), {"key": "key"}, {"sk": "sk"})) for bound in (50, 49)
+            final_plan(joins.lookup(facts, joins.sized(dim, max_rows=bound)[0], {"key": "key"}, {"sk": "sk"})) for bound in (50, 49)
         ]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_points
 from tests.compare import DATA
 from wheelhouse.catalog.bindings import Tables
-from wheelhouse.catalog.marts import fact_rides, measured
+from wheelhouse.catalog.marts import fact_rides
 from wheelhouse.operators import mutate
 from wheelhouse.plans import rides
 
@@ -36,7 +36,7 @@ def test_nothing_unscalable(spark, plan, name):
 def test_fact_load_moves_no_fact(spark, plan):
     """All dimensions of the fact load are counted small here, so rides pass through without a shuffle."""
     t = Tables(spark, FOLDER)
-    text = plan(fact_rides(t, measured(t)))
+    text = plan(fact_rides(t))
     assert "SortMergeJoin" not in text
     spine = [line for line in text.splitlines() if re.match(r"^[ :]*\+- (\*\(\d+\) )?BroadcastHashJoin", line)]
     assert len(spine) >= 8

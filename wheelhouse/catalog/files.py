@@ -16,7 +16,6 @@ from wheelhouse.catalog.marts import (
     MEASURES,
     fact_rides,
     graph_base,
-    measured,
 )
 from wheelhouse.catalog.registry import query
 from wheelhouse.functions import text
@@ -156,7 +155,7 @@ def write_parquet_table(t: Tables) -> DataFrame:
 def write_parquet_partitioned(t: Tables) -> DataFrame:
     """The whole fact in year folders from one job; counts come from the files."""
     path = scratch_dir(t.spark, "fact-ride")
-    sink.write_partitioned(facts.with_year(fact_rides(t, measured(t)), t.dim_date), path, ["year"])
+    sink.write_partitioned(facts.with_year(fact_rides(t), t.dim_date), path, ["year"])
     return source.read_parquet(t.spark, path).groupBy("year").agg(
         F.count(F.lit(1)).alias("rides"), F.sum("ride_id").alias("id_sum")
     )
@@ -166,7 +165,7 @@ def write_parquet_partitioned(t: Tables) -> DataFrame:
 def offset_batches(t: Tables) -> DataFrame:
     """What a paged export would put out page by page, written at once and read back whole."""
     path = scratch_dir(t.spark, "fact-pages")
-    sink.write_partitioned(facts.with_year(fact_rides(t, measured(t)), t.dim_date), path, ["year"], max_records_per_file=500_000)
+    sink.write_partitioned(facts.with_year(fact_rides(t), t.dim_date), path, ["year"], max_records_per_file=500_000)
     return source.read_parquet(t.spark, path).drop("year", "month")
 
 

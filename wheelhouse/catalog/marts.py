@@ -10,6 +10,7 @@ from wheelhouse.catalog.expressions import RIDE_LEG, STATION_LEG
 from wheelhouse.catalog.registry import query
 from wheelhouse.functions import weather
 from wheelhouse.operators import limits
+from wheelhouse.operators.joins import sized
 from wheelhouse.plans import dimensions, facts, graph, rides, sales, words
 from wheelhouse.session import scratch_dir
 from wheelhouse.sinks.files import staged, write_parquet
@@ -130,38 +131,34 @@ FACTS = """SELECT ride_id, coalesce(date_sk, -1) AS date_sk, coalesce(user_sk, '
 FACT_TABLES = "order_rides lock_places subscriptions dim_date dim_user dim_lock weather_hourly weather_members"
 
 
-def measured(t: Tables, source: DataFrame | None = None) -> DataFrame:
-    measures = facts.ride_measures(t.order_rides if source is None else source, t.lock_places, t.subscriptions)
-    return measures.withColumn("ride_distance", F.round("ride_distance", 3))
+def ride_dimensions(t: Tables) -> facts.RideDimensions:
+    """The dimensions of the ride fact; the weather is parsed once and kept as a staging table."""
+    hourly = staged(dimensions.weather_hourly(t.weather_documents), "weather-hourly")
+    opened = facts.RideDimensions(
+        t.dim_date, dimensions.weather_members(t.spark), t.dim_user, t.dim_lock, t.lock_places, hourly
+    )
+    return opened.counted()
 
 
-def staged_weather(t: Tables) -> DataFrame:
-    """The weather per hour, parsed once and kept as a staging table."""
-    return staged(dimensions.weather_hourly(t.weather_documents), "weather-hourly")
+def measured(t: Tables, source: DataFrame, places: DataFrame) -> DataFrame:
+    measures = facts.ride_measures(source, places, t.subscriptions)
+    return measures.withColumn("ride_distance", F.round("ride_distance", 3))
 
 
-def fact_rides(
-    t: Tables, measures: DataFrame, user_lookup: str = "current", hourly: DataFrame | None = None
-) -> DataFrame:
-    return facts.ride_facts(
-        measures,
-        t.dim_date,
-        t.dim_user,
-        t.dim_lock,
-        staged_weather(t) if hourly is None else hourly,
-        dimensions.weather_members(t.spark),
-        user_lookup,
-    )
+def fact_rides(t: Tables, user_lookup: str = "current") -> DataFrame:
+    opened = ride_dimensions(t)
+    return facts.ride_facts(measured(t, t.order_rides, opened.places), opened, user_lookup)
 
 
 @query("ride_measures", with_tables("order_rides lock_places subscriptions", MEASURES))
 def ride_measures(t: Tables) -> DataFrame:
-    return measured(t)
+    (places,) = sized(t.lock_places)
+    return measured(t, t.order_rides, places)
 
 
 @query("fact_ride_lookup", with_tables(FACT_TABLES, FACTS, measures=MEASURES))
 def fact_ride_lookup(t: Tables) -> DataFrame:
-    return fact_rides(t, measured(t))
+    return fact_rides(t)
 
 
 @query(
@@ -174,18 +171,21 @@ def fact_ride_lookup(t: Tables) -> DataFrame:
 )
 def fact_ride_asof(t: Tables) -> DataFrame:
     """The user version that was valid when the ride started."""
-    return fact_rides(t, measured(t), "asof")
+    return fact_rides(t, "asof")
 
 
 @query("fact_ride_incremental", with_tables(FACT_TABLES, FACTS, measures=MEASURES))
 def fact_ride_incremental(t: Tables) -> DataFrame:
     """A first load up to the greatest customer key, and one more run that appends what came after it."""
-    path, hourly = scratch_dir(t.spark, "fact-ride"), staged_weather(t)
+    path, opened = scratch_dir(t.spark, "fact-ride"), ride_dimensions(t)
     border = limits.high_watermark(t.customer, "c_custkey")
-    first = measured(t, t.order_rides.where(F.col("ride_id") <= border))
-    write_parquet(fact_rides(t, first, hourly=hourly), path)
+
+    def load(source: DataFrame) -> DataFrame:
+        return facts.ride_facts(measured(t, source, opened.places), opened)
+
+    write_parquet(load(t.order_rides.where(F.col("ride_id") <= border)), path)
     rest = facts.new_rides(t.order_rides, read_parquet(t.spark, path))
-    write_parquet(fact_rides(t, measured(t, rest), hourly=hourly), path, mode="append")
+    write_parquet(load(rest), path, mode="append")
     return read_parquet(t.spark, path)
 
 
@@ -231,7 +231,7 @@ def fact_sales_merge(t: Tables) -> DataFrame:
     ),
 )
 def fact_export_by_year(t: Tables) -> DataFrame:
-    return facts.with_year(fact_rides(t, measured(t)), t.dim_date)
+    return facts.with_year(fact_rides(t), t.dim_date)
 
 
 # --- graph ---------------------------------------------------------------------------------------

@@ -8,6 +8,7 @@ partitions of hot keys.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,14 +17,19 @@ UNKNOWN_KEY = -1
 BROADCAST_ROWS = 500_000
 
 
-def sized(dimension: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark a dimension for broadcast if it is counted to hold at most ``max_rows`` rows.
+def sized(*dimensions: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[DataFrame]:
+    """Mark the dimensions for broadcast that are counted to hold at most ``max_rows`` rows.
 
     Spark multiplies the sizes of joined inputs when it plans, so a small dimension that is itself a join
-    looks huge, and every fact would be shuffled for it.  Counting the dimension costs little beside that.
-    A larger dimension is returned as it is.
+    looks huge, and every fact would be shuffled for it.  Counting all of them in one job costs little
+    beside that.  A larger dimension is returned as it is.
     """
-    return F.broadcast(dimension) if dimension.count() <= max_rows else dimension
+    counts = [
+        dimension.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("i"), "rows")
+        for i, dimension in enumerate(dimensions)
+    ]
+    rows = {r.i: r.rows for r in reduce(DataFrame.union, counts).collect()}
+    return [F.broadcast(d) if rows[i] <= max_rows else d for i, d in enumerate(dimensions)]
 
 
 def lookup(
@@ -63,12 +69,16 @@ def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def _long_histories(versions: DataFrame, key: str, start: str, max_versions: int) -> DataFrame:
-    """Keys with more than ``max_versions`` versions, with their time span and number of slices."""
-    spans = versions.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__long_key")).agg(
+def _spans(versions: DataFrame, key: str, start: str) -> DataFrame:
+    """Number of versions and time span of every key."""
+    return versions.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__long_key")).agg(
         F.count(F.lit(1)).alias("__n"), F.min(start).alias("__lo"), F.max(start).alias("__hi")
     )
-    return spans.where(F.col("__n") > max_versions).select(
+
+
+def _long_histories(versions: DataFrame, key: str, start: str, max_versions: int) -> DataFrame:
+    """Keys with more than ``max_versions`` versions, with their time span and number of slices."""
+    return _spans(versions, key, start).where(F.col("__n") > max_versions).select(
         "__long_key", "__lo", "__hi", F.ceil(F.col("__n") / max_versions).cast("int").alias("__slices")
     )
 
@@ -101,8 +111,9 @@ def valid_at(
     about ``max_versions`` versions each: a version is repeated in the slices it touches, a fact falls into
     one.  The result is the same, the work per key becomes linear, and a hot key spreads over tasks.
 
-    Such keys are counted first.  Up to ``inline_limit`` of them are broadcast to the facts; a longer list
-    is joined like any other table, and without any the lookup is a plain join.
+    One job counts the versions and such keys first.  Up to ``inline_limit`` of the keys are broadcast to
+    the facts; a longer list is joined like any other table, and without any the lookup is a plain join.
+    The versions themselves are broadcast when they are few, as in :func:`sized`.
     """
     side = versions.select(
         F.col(version_key).alias("__key"),
@@ -111,11 +122,13 @@ def valid_at(
         *(F.col(column).alias(f"__{name}") for name, column in take.items()),
     )
     long_keys = _long_histories(side, "__key", "__start", max_versions)
-    found = long_keys.limit(inline_limit + 1).count()
+    size = _spans(side, "__key", "__start").agg(
+        F.sum("__n").alias("rows"), F.count_if(F.col("__n") > max_versions).alias("long")
+    ).first()
     matches = (F.col(fact_key) == F.col("__key")) & (F.col(at) > F.col("__start")) & (F.col(at) <= F.col("__end"))
     left = facts
-    if found:
-        if found <= inline_limit:
+    if size.long:
+        if size.long <= inline_limit:
             long_keys = F.broadcast(long_keys)
         helper = ["__long_key", "__lo", "__hi", "__slices"]
         left = (
@@ -131,6 +144,8 @@ def valid_at(
             .drop(*helper)
         )
         matches = matches & (F.col("__fact_slice") == F.col("__slice"))
+    elif (size.rows or 0) <= BROADCAST_ROWS:
+        side = F.broadcast(side.where(F.col("__key").isNotNull()))
     joined = left.join(side, matches, "left")
     kept = [c for c in facts.columns if c not in take]
     return joined.select(*kept, *(F.col(f"__{name}").alias(name) for name in take))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,12 +24,10 @@ def ride_measures(
     """Clean rides with duration, distance and the natural keys for the lookups.
 
     Rides that end before they start, or whose end is unknown, are left out.  The distance uses the
-    ride's own points, else the stations of its locks, else 0.  ``places`` comes from
-    :func:`wheelhouse.plans.dimensions.lock_places`.  Without ``subscriptions`` the rides carry their
-    ``user_id``.  ``axis="lonlat"`` swaps the axes of every point.
+    ride's own points, else the stations of its locks (``places``), else 0.  Without ``subscriptions`` the
+    rides carry their ``user_id``.  ``axis="lonlat"`` swaps the axes of every point.
     """
     valid = rides.where(F.col("start_time") <= F.col("end_time"))
-    places = sized(places)
     for side in ("start", "end"):
         take = {f"{side}_station_lat": "lat", f"{side}_station_lon": "lon", f"{side}_zipcode": "zipcode"}
         valid = lookup(valid, places, on={f"{side}_lock_id": "lock_id"}, take=take)
@@ -59,41 +59,56 @@ def _distance(axis: str) -> Column:
     return geo.first_known_distance_km(leg("start", "end"), leg("start_station", "end_station"))
 
 
-def ride_facts(
-    measures: DataFrame,
-    dim_date: DataFrame,
-    dim_user: DataFrame,
-    dim_lock: DataFrame,
-    hourly_weather: DataFrame,
-    dim_weather: DataFrame,
-    user_lookup: str = "current",
-) -> DataFrame:
+@dataclass(frozen=True)
+class RideDimensions:
+    """The dimensions of the ride fact, opened once for all increments of a run.
+
+    The date and weather members are bounded by the calendar and by four rows; ``places`` comes from
+    :func:`wheelhouse.plans.dimensions.lock_places`.
+    """
+
+    date: DataFrame
+    weather: DataFrame
+    user: DataFrame
+    lock: DataFrame
+    places: DataFrame
+    hourly_weather: DataFrame
+
+    def counted(self) -> RideDimensions:
+        """The same, with the ones marked for broadcast that are counted to be small."""
+        user, lock, places, hourly = sized(self.user, self.lock, self.places, self.hourly_weather)
+        return RideDimensions(self.date, self.weather, user, lock, places, hourly)
+
+
+def ride_facts(measures: DataFrame, dimensions: RideDimensions, user_lookup: str = "current") -> DataFrame:
     """The ride fact with its surrogate keys; a key that is not found becomes -1.
 
     ``user_lookup`` is ``"current"`` (the current version of the user) or ``"asof"`` (the version valid
-    when the ride started).  The date and weather members are bounded by the calendar and by four rows.
+    when the ride started).
     """
-    dim_user, dim_lock, hourly_weather = sized(dim_user), sized(dim_lock), sized(hourly_weather)
-    facts = lookup(measures, dim_date, on={"ride_date": "date"}, take={"date_sk": "date_sk"}, default=UNKNOWN_KEY, small=True)
+    facts = lookup(
+        measures, dimensions.date, on={"ride_date": "date"}, take={"date_sk": "date_sk"}, default=UNKNOWN_KEY, small=True
+    )
+    take = {"user_sk": "user_sk"}
     if user_lookup == "current":
-        facts = lookup(facts, dim_user, on={"user_id": "user_id"}, take={"user_sk": "user_sk"}, only=F.col("is_current"))
+        facts = lookup(facts, dimensions.user, on={"user_id": "user_id"}, take=take, only=F.col("is_current"))
     else:
         facts = valid_at(
-            facts, dim_user, "user_id", "user_id", "start_time", "start_date", "end_date", {"user_sk": "user_sk"}
+            facts, dimensions.user, "user_id", "user_id", "start_time", "start_date", "end_date", take
         )
     for side in ("start", "end"):
         facts = lookup(
-            facts, dim_lock, on={f"{side}_lock_id": "lock_id"}, take={f"{side}_lock_sk": "lock_id"}, default=UNKNOWN_KEY
+            facts, dimensions.lock, on={f"{side}_lock_id": "lock_id"}, take={f"{side}_lock_sk": "lock_id"}, default=UNKNOWN_KEY
         )
     facts = lookup(
         facts,
-        hourly_weather,
+        dimensions.hourly_weather,
         on={"start_postal_code": "zipcode", "start_hour": "weather_hour"},
         take={"weather_type": "weather_type"},
         default=weather.UNKNOWN,
     )
     facts = lookup(
-        facts, dim_weather, on={"weather_type": "weather_type"}, take={"weather_id": "weather_id"}, default=UNKNOWN_KEY, small=True
+        facts, dimensions.weather, on={"weather_type": "weather_type"}, take={"weather_id": "weather_id"}, default=UNKNOWN_KEY, small=True
     )
     return facts.select(
         "ride_id",
@@ -124,7 +139,7 @@ def sales_facts(sales: DataFrame, dim_date: DataFrame, dim_salesrep: DataFrame,
     )
     versioned = valid_at(
         dated,
-        sized(dim_salesrep),
+        dim_salesrep,
         "salesrep_id",
         "salesrep_id",
         "order_date",

@@ -21,7 +21,7 @@ def ride_base(
     stations: DataFrame,
 ) -> DataFrame:
     """Rides with vehicle, user and both stations; the end station is optional."""
-    placed = sized(locks.join(stations, "station_id"))
+    placed, people = sized(locks.join(stations, "station_id"), users.select("user_id", "email", "city"))
 
     def side(name: str) -> DataFrame:
         columns = ("station_id", "street", "district", "number", "zipcode")
@@ -33,7 +33,7 @@ def ride_base(
         rides.select("ride_id", "start_time", "end_time", "vehicle_id", "subscription_id", "start_lock_id", "end_lock_id")
         .join(vehicles.select("vehicle_id", "serial_number"), "vehicle_id")
         .join(subscriptions.select("subscription_id", "user_id"), "subscription_id")
-        .join(sized(users.select("user_id", "email", "city")), "user_id")
+        .join(people, "user_id")
         .join(side("start"), "start_lock_id")
         .join(side("end"), "end_lock_id", "left")
     )
