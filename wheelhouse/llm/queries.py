@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wheelhouse.llm import quality
+from wheelhouse.llm import bpe, quality
 from wheelhouse.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -72,3 +73,18 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The ledger of all documents with the verdict of the default policy."""
     rows = quality.quality_verdicts(_table(spark, folder, "documents").select("doc_id", "text"))
     return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@_query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Token count and digests of every document, and of what its tokens decode to."""
+    import public_tokenizers
+
+    path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+    ids = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path, pattern).drop("text")
+    return bpe.decode(ids, path, pattern).select(
+        "doc_id",
+        (F.octet_length("token_bytes") / 4).cast("long").alias("n_tokens"),
+        F.sha2("token_bytes", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
