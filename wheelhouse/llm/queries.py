@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wheelhouse.llm import bpe, quality
+from wheelhouse.llm import bpe, decontamination, quality
 from wheelhouse.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -88,3 +88,58 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("token_bytes", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+DECONTAMINATION_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+item_words AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words
+  FROM benchmark
+),
+item_places AS (
+  SELECT item_id, words, least(len(words), 10) AS k, unnest(range(1, greatest(len(words) - 9, 1) + 1)) AS place
+  FROM item_words WHERE len(words) > 0
+),
+item_windows AS (
+  SELECT DISTINCT item_id, k, array_to_string(words[place:place + k - 1], ' ') AS win FROM item_places
+),
+sizes AS (SELECT DISTINCT k FROM item_windows),
+doc_places AS (
+  SELECT doc_id, words, k, unnest(range(1, len(words) - k + 2)) AS place FROM doc_words, sizes WHERE len(words) >= k
+),
+found AS (
+  SELECT p.doc_id, p.place, p.k, i.item_id
+  FROM (SELECT doc_id, place, k, array_to_string(words[place:place + k - 1], ' ') AS win FROM doc_places) p
+  JOIN item_windows i ON i.k = p.k AND i.win = p.win
+),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT place + step) AS n_hit
+  FROM found, (VALUES (0), (1), (2), (3), (4), (5), (6), (7), (8), (9)) AS s(step) WHERE step < k GROUP BY doc_id
+),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.words) AS n_words, coalesce(w.n_hit, 0) AS n_hit, coalesce(i.n_items, 0) AS n_items,
+       sha256(coalesce(i.items, '')) AS items_sha256, coalesce(w.n_hit, 0) > 0 AS contaminated
+FROM doc_words d LEFT JOIN hit_words w ON d.doc_id = w.doc_id LEFT JOIN hit_items i ON d.doc_id = i.doc_id
+"""
+
+
+@_query("op5_decontamination", DECONTAMINATION_SQL)
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Hit words and items of every document."""
+    docs, items = _table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark")
+    return decontamination.find_items(docs, items).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
