@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wheelhouse.llm import bpe, decontamination, quality
+from wheelhouse.llm import bpe, decontamination, lsh_forest, quality
 from wheelhouse.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -143,3 +143,40 @@ def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("hit_items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+NEAR_DEDUP_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+  FROM documents
+),
+places AS (
+  SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS place FROM words WHERE len(words) > 0
+),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[place:place + 3], ' ') AS shingle FROM places),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id
+),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+),
+ways AS (SELECT a AS f, b AS t FROM links UNION ALL SELECT b, a FROM links),
+reached AS (
+  SELECT doc_id AS start, doc_id AS node FROM documents
+  UNION
+  SELECT r.start, w.t FROM reached r JOIN ways w ON w.f = r.node
+),
+least_of AS (SELECT start AS doc_id, min(node) AS component_id FROM reached GROUP BY start)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, l.component_id, d.doc_id = l.component_id AS kept
+FROM documents d JOIN least_of l ON d.doc_id = l.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id
+"""
+
+
+@_query("op4_minhash_near_dedup", NEAR_DEDUP_SQL)
+def op4_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Groups of near copies by four-word shingles and a similarity of 0.8."""
+    return lsh_forest.near_duplicates(_table(spark, folder, "documents"), size=4, percent=80)
