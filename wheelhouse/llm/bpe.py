@@ -26,7 +26,7 @@ from wheelhouse.llm.batches import texts_of, with_batches
 
 NONE = np.int64(1) << 62
 SEGMENT = 1 << 21  # characters of a text that are looked at together
-KNOWN = 400_000  # remembered pieces and units; forgetting them changes no result
+KNOWN = 150_000  # remembered pieces and units; forgetting them changes no result
 TREE_CELLS = 1 << 21
 RANK_BITS = 21  # of a token id; also what a pair key shifts by
 
@@ -86,7 +86,6 @@ class Encoder:
     """Encodes texts by the ranks of ``tokens``; pieces met before are remembered."""
 
     def __init__(self, tokens: Sequence[bytes], pattern: str) -> None:
-        self.tokens = list(tokens)
         self.ids = {token: number for number, token in enumerate(tokens)}
         self.split = regex.compile(pattern).findall
         self.iterate = regex.compile(pattern).finditer
@@ -244,8 +243,9 @@ class Encoder:
         empty = np.empty(0, np.int32)
         return [parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else empty for parts in done]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids.tolist()))
+
+def decode_ids(tokens: Sequence[bytes], ids: np.ndarray) -> bytes:
+    return b"".join(map(tokens.__getitem__, ids.tolist()))
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -275,15 +275,15 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     return with_batches(docs, [text], "token_bytes binary", prepare)
 
 
-def decode(rows: DataFrame, path: str, pattern: str, ids: str = "token_bytes") -> DataFrame:
+def decode(rows: DataFrame, path: str, ids: str = "token_bytes") -> DataFrame:
     """``rows`` with ``decoded``: the bytes that the ids stand for."""
     shared = rows.sparkSession.sparkContext.broadcast(read_ranks(path))
 
     def prepare():
-        encoder = _encoder(shared.value, pattern)
+        tokens = shared.value
 
         def work(column: pa.Array) -> list:
-            return [[encoder.decode(np.frombuffer(value or b"", "<u4")) for value in column.to_pylist()]]
+            return [[decode_ids(tokens, np.frombuffer(value or b"", "<u4")) for value in column.to_pylist()]]
 
         return work
 
