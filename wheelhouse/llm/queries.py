@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wheelhouse.llm import bpe, chat, decontamination, lsh_forest, quality, secret_scan
-from wheelhouse.session import tune
+from wheelhouse.llm import bpe, chat, decontamination, lsh_forest, quality, secret_scan, warc
+from wheelhouse.session import scratch_dir, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -252,3 +252,26 @@ def op9_chat_prefix_targets(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2("learned", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+WARC_SQL = r"""
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages
+),
+firsts AS (
+  SELECT payload_digest, payload_bytes, max(page_id) AS first FROM payloads WHERE payload_bytes >= 1000
+  GROUP BY payload_digest, payload_bytes
+)
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN f.first <> p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> p.page_id THEN f.first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON f.payload_digest = p.payload_digest AND f.payload_bytes = p.payload_bytes
+"""
+
+
+@_query("op8_warc_records", WARC_SQL)
+def op8_warc_records(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages written as archive records and read back."""
+    path = scratch_dir(spark, "warc")
+    warc.write_archive(_table(spark, folder, "pages").select("page_id", "url", "html"), path)
+    return warc.read_archive(spark, path)
