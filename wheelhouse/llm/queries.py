@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wheelhouse.llm import bpe, chat, decontamination, lsh_forest, quality, secret_scan, warc
+from wheelhouse.llm import bpe, chat, decontamination, html_blocks, lsh_forest, quality, secret_scan, toxicity, warc
 from wheelhouse.session import scratch_dir, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -275,3 +275,20 @@ def op8_warc_records(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "warc")
     warc.write_archive(_table(spark, folder, "pages").select("page_id", "url", "html"), path)
     return warc.read_archive(spark, path)
+
+
+@_query("op2_html_main_text")
+def op2_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = html_blocks.main_text(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@_query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled rows outside the held-out quarter."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(4)) == 2
+    labels = _table(spark, folder, "labels").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
+    scored = toxicity.scored(docs, toxicity.fit(docs, labels))
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
