@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wheelhouse.llm import bpe, chat, decontamination, html_blocks, lsh_forest, quality, secret_scan, toxicity, warc
+from wheelhouse.llm import bpe, chat, decontamination, html_blocks, lsh_forest, pii, quality, secret_scan, toxicity, warc
 from wheelhouse.session import scratch_dir, tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -292,3 +292,17 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     labels = _table(spark, folder, "labels").where(~held_out).select("doc_id", F.col("toxic").alias("label"))
     scored = toxicity.scored(docs, toxicity.fit(docs, labels))
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query("op6_personal_data")
+def op6_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    """Exact shapes of personal data, and the spans that the field adds, of every document."""
+    found = pii.find_personal_data(_table(spark, folder, "documents").select("doc_id", "text"))
+    spans = F.col("personal")
+    base = F.filter(spans, lambda s: s["exact"])
+    return found.select(
+        "doc_id",
+        *[_count_kind(base, kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(_span_text(base), 256).alias("base_sha256"),
+        _span_text(spans).alias("spans"),
+    )
