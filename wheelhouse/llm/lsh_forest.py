@@ -270,7 +270,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     pairs = written(candidates(sets), "pairs")
 
     involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = written(own.withColumnRenamed("id", "node").join(involved, "node").dropDuplicates(["node", "text"]), "texts")
+    # One shuffle of the texts at any size; rows with one id and text are then dropped where they are.
+    texts = own.withColumnRenamed("id", "node").join(involved.hint("merge"), "node").withColumn("hash", F.xxhash64("text"))
+    texts = written(texts.dropDuplicates(["node", "hash"]).drop("hash"), "texts")
     first = written(_best(pairs), "best")
     groups = written(components(confirm(first, texts, size, percent)), "groups")
 
@@ -295,5 +297,6 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """One document of each group, columns as they came; of rows that share the kept id, all but one text go."""
     kept = near_duplicates(docs, key, text, size, percent).where("kept").select(F.col(key).alias("_kept")).distinct()
-    chosen = docs.join(kept, docs[key] == kept["_kept"], "left_semi").dropDuplicates([key])
+    # By a shuffle on the id at any size, so that rows which share it are where one of them is chosen.
+    chosen = docs.join(kept.hint("merge"), docs[key] == kept["_kept"], "left_semi").dropDuplicates([key])
     return chosen.unionByName(docs.where(F.col(key).isNull()))
