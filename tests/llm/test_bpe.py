@@ -35,7 +35,7 @@ def test_equals_reference(pair, text):
     encoder, reference = pair
     ids = encoder.encode([text])[0]
     assert ids.tolist() == reference.encode_ordinary(text)
-    assert bpe.decode_ids(bpe.read_ranks(PATH), ids) == text.encode()
+    assert bpe.decode_ids(bpe.read_ranks(PATH), ids.astype("<u4").tobytes()) == text.encode()
 
 
 @settings(max_examples=300, deadline=None)
@@ -64,6 +64,8 @@ def test_tables(spark, pair):
     for row in out:
         assert bytes(row.decoded) == (row.text or "").encode()
         assert np.frombuffer(bytes(row.token_bytes), "<u4").tolist() == pair[1].encode_ordinary(row.text or "")
+    once = bpe.encode(docs, PATH, public_tokenizers.PATTERN, decoded=True).select(*out[0].asDict()).collect()
+    assert sorted(once, key=str) == sorted(out, key=str)
     assert bpe.encode(docs.limit(0), PATH, public_tokenizers.PATTERN).count() == 0
 
 
