@@ -187,7 +187,7 @@ def labelled_pages() -> list[str]:
     """The small labelled table as pages: blocks that begin with ``+`` are main text, all others are not."""
     article = "".join(f"<p>+ {_some(n)}</p>" for n in (40, 1, 12, 3, 80, 0, 7, 25))
     linked = f"<p>+ {_some(9)} <a href=x>{_some(6)}</a> {_some(5)}</p><p>+ <a href=y>{_some(4)}</a></p>"
-    menu = "<ul>" + "".join(f"<li><a href=/{i}>- {_some(1)}</a></li>" for i in range(6)) + "</ul>"
+    menu = "<ul>" + "".join(f"<li><a href=/{i}>- {_some(n)}</a></li>" for i, n in enumerate((0, 1, 4, 8, 2, 12))) + "</ul>"
     furniture = [
         f"<nav>{menu}</nav>", f"<header><h1>- {_some(4)}</h1>{menu}</header>", f"<div class=ad>- {_some(8)}</div>", f"<div class=ads>- {_some(60)}</div>",
         f"<aside><p>- {_some(30)}</p></aside>", f"<form><p>- {_some(5)}</p><button>- go</button></form>", f"<div id=cookie-notice>- {_some(20)}</div>",
@@ -197,7 +197,8 @@ def labelled_pages() -> list[str]:
     for body in (f"<article><h1>+ {_some(5)}</h1>{article}</article>", f"<main>{article}{linked}</main>", f"<article><p>+ {_some(1)}</p></article>"):
         for piece in furniture:
             pages.append(f"<html><head><title>- {_some(6)}</title></head><body>{furniture[0]}{piece}{body}{piece}{furniture[8]}</body></html>")
-    for piece in furniture:  # furniture within the article, also where the article never closes
+    # Furniture within the article, also where that never closes; a header there is the article's own.
+    for piece in furniture[:1] + furniture[2:]:
         pages.append(f"<body>{furniture[0]}<article><h1>+ {_some(5)}</h1>{article}{piece}{linked}</article>{furniture[8]}</body>")
         pages.append(f"<body><main><p>+ {_some(3)}</p><ul><li>+ {_some(2)}</li><li>+ {_some(9)}</li></ul>{piece}{furniture[8]}")
         links = "".join(f"<h2>+ {_some(n)}</h2><ul><li><a href=x>+ {_some(n)}</a></li><li><a href=y>+ {_some(1)}</a></li></ul>" for n in (1, 2, 4, 7))
