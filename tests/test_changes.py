@@ -200,3 +200,67 @@ def test_log_on_disk(spark, tmp_path, rows):
     assert rows(versioned.state_at(log, ["k"], timestamp="2024-01-02 12:00:00")) == [(1, 10), (2, 2), (3, 3)]
     history = [(r.version, r.commit_ts, r.inserted, r.updated, r.deleted) for r in versioned.history(log).collect()]
     assert sorted(history)[1] == (1, dt.datetime(2024, 1, 2), 0, 1, 0)
+
+
+# --- guards of merges and type-2 loads -------------------------------------------------------------
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_merge_guard_is_part_of_every_result(spark, small):
+    target, source = frame(spark, [(1, 1), (2, 2)]), frame(spark, [(1, 5), (1, 6)])
+    merged = mutate.merge(target, source, ["k"], update="all", small=small)
+    for use in (lambda d: d.count(), lambda d: d.select("k").collect()):
+        with pytest.raises(Exception, match="several source rows"):
+            use(merged)
+    assert mutate.merge(target, source, ["k"], small=small).count() == 2
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_merge_forms_agree(spark, rows, small):
+    target = frame(spark, [(1, 1), (2, 2), (None, 3), (4, 4)])
+    source = frame(spark, [(1, 10), (3, 30), (3, 31), (None, 9), (4, 40)])
+    got = mutate.merge(target, source, ["k"], update="all", only_source=F.col("v") < 40, only_target=F.col("v") > 0, small=small)
+    assert rows(got) == sorted(
+        [(1, 10), (2, 2), (None, 3), (4, 4), (3, 30), (3, 31), (None, 9), (4, 40)], key=lambda r: tuple((v is not None, str(v)) for v in r)
+    )
+
+
+def test_merge_reads_the_target_once(spark, plan, tmp_path):
+    for name in ("target", "source"):
+        spark.range(50).select(F.col("id").alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    for limit in ("10m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        text = plan(mutate.merge(target, source, ["k"], update="all"))
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        assert text.count("/target]") == 1 and text.count("/source]") == 2
+
+
+def test_snapshot_guards(spark, dimension):
+    for wrong, message in ((people(spark, FIRST[0], FIRST[0]), "key twice"), (people(spark, (None, *FIRST[0][1:])), "without key")):
+        with pytest.raises(Exception, match=message):
+            scd2.apply_snapshot(dimension, wrong, SPEC, RUN).count()
+        with pytest.raises(Exception, match=message):
+            by_merge(dimension, wrong, SPEC, RUN).count()
+    with pytest.raises(Exception, match="not after the start"):
+        scd2.apply_snapshot(dimension, people(spark, *SECOND), SPEC, START).count()
+
+
+def test_versions_without_a_flag_stay(spark, dimension):
+    odd = dimension.withColumn("is_current", F.when(F.col("id") != 2, F.col("is_current")))
+    got = scd2.apply_snapshot(odd, people(spark, FIRST[0]), SPEC, RUN)
+    assert got.count() == dimension.count() and got.where("is_current is null").count() == 1
+
+
+def test_second_run_of_a_snapshot_changes_nothing(spark, dimension, rows):
+    once = scd2.apply_snapshot(dimension, people(spark, *SECOND), SPEC, RUN)
+    again = scd2.apply_snapshot(once, people(spark, *SECOND), SPEC, "2030-01-01 00:00:00")
+    assert rows(again) == rows(once)
+
+
+def test_values_that_share_a_hash_still_differ(spark):
+    schema = "id long, a string, b string"
+    spec = scd2.Type2(key="id", tracked=("a", "b"))
+    dim = scd2.initial_load(spark.createDataFrame([(1, "a|b", "c"), (2, None, "x")], schema), spec, "2020-01-01 00:00:00")
+    later = spark.createDataFrame([(1, "a", "b|c"), (2, "", "x")], schema)
+    assert {r.change for r in scd2.detect_changes(dim, later, spec).collect()} == {"changed"}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wheelhouse import session
 from wheelhouse.operators.layout import spread
+from wheelhouse.session import scratch_dir
 from wheelhouse.sinks import files as sink
 from wheelhouse.sources import files as source
 from wheelhouse.sources.generated import date_sequence, dates_covering, inline_rows
@@ -68,16 +69,19 @@ def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, plan):
 
 def test_spread_moves_only_few_pieces(spark):
     cores = spark.sparkContext.defaultParallelism
-    assert spread(spark.range(0, 100, 1, 1)).rdd.getNumPartitions() == cores
-    many = spark.range(0, 100, 1, cores)
+    few = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    assert spread(few).rdd.getNumPartitions() == cores
+    path = scratch_dir(spark, "many")
+    spark.range(0, 100, 1, cores).write.parquet(path)
+    many = spark.read.parquet(path)
     assert spread(many) is many
 
 
 def test_row_counts(spark, tmp_path):
     path = str(tmp_path / "t")
-    sink.write_parquet(spark.range(3), path)
-    assert tuple(sink.row_counts(spark, spark.range(3), path).first()) == (3, 3, True)
-    assert tuple(sink.row_counts(spark, spark.range(4), path).first()) == (4, 3, False)
+    assert sink.write_counted(spark.range(3), path) == 3
+    assert tuple(sink.row_counts(spark, 3, path).first()) == (3, 3, True)
+    assert tuple(sink.row_counts(spark, 4, path).first()) == (4, 3, False)
 
 
 def test_path_probe(spark, tmp_path):
@@ -103,7 +107,15 @@ def test_scratch_follows_the_cluster_setting(spark, monkeypatch):
     first, second = (session.scratch_dir(spark, "x") for _ in range(2))
     assert first != second
     if shared:
-        assert first.startswith(shared.rstrip("/") + "/x-")
+        assert first.startswith(f"{shared.rstrip('/')}/{spark.sparkContext.applicationId}/x-")
+
+
+def test_scratch_of_a_run_is_removed_by_its_owner(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "scratch_root", lambda _: f"file://{tmp_path}")
+    path = session.scratch_dir(spark, "x")
+    spark.range(3).write.parquet(path)
+    session.drop_scratch(spark)
+    assert not list(tmp_path.iterdir())
 
 
 class _Session:
@@ -113,15 +125,13 @@ class _Session:
         self.conf, self.sparkContext, self.master, self.applicationId = self, self, master, master
         self.folder = folder
 
-    def get(self, name: str, default: str) -> str:
-        return self.folder if name == "spark.checkpoint.dir" else default
+    def get(self, name: str, default: str | None = None) -> str | None:
+        return {"spark.checkpoint.dir": self.folder, "spark.sql.warehouse.dir": "hdfs:///warehouse/"}.get(name, default)
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster():
+def test_scratch_is_never_a_folder_of_one_machine():
     assert session.scratch_root(_Session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.scratch_root(_Session("yarn", ""))
-    assert session.scratch_root(_Session("local[2]", "")) == session.scratch_root(_Session("local[2]", ""))
+    assert session.scratch_root(_Session("yarn", "")) == "hdfs:///warehouse/_scratch"
 
 
 # No database is started for tests; these check what is handed to Spark's JDBC source.
@@ -197,8 +207,32 @@ def test_database_reads_and_writes():
     assert replaced.told["mode"] == "overwrite" and replaced.told["truncate"] == "true"
 
 
-def test_missing_table_is_not_there(spark):
-    assert not Database("jdbc:nothing:at:all").has_table(spark, "t")
+class _Failing:
+    """A session whose reader fails as a database would."""
+
+    def __init__(self, state: str) -> None:
+        self.error = RuntimeError("database")
+        self.error.sql_state = state
+
+    @property
+    def read(self):
+        raise self.error
+
+
+def test_only_a_missing_table_is_not_there(spark):
+    assert not BASE.has_table(_Failing("42P01"), "t")
+    with pytest.raises(RuntimeError, match="database"):
+        BASE.has_table(_Failing("28P01"), "t")
+    with pytest.raises(Exception):  # noqa: B017  no driver for it: the class of the error is Spark's own
+        Database("jdbc:nothing:at:all").has_table(spark, "t")
+
+
+def test_only_a_missing_path_is_not_there(spark, tmp_path):
+    assert not source.path_exists(spark, str(tmp_path / "none"))
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "x.parquet").write_text("no parquet")
+    with pytest.raises(Exception):  # noqa: B017
+        source.path_exists(spark, str(tmp_path / "broken"))
 
 
 def test_secret(monkeypatch):

@@ -40,7 +40,7 @@ def histories(seed, chained):
 
 
 @pytest.mark.parametrize("chained", [True, False])
-@pytest.mark.parametrize("options", [{}, {"max_versions": 7}, {"max_versions": 7, "inline_limit": 0}, {"max_versions": 1}])
+@pytest.mark.parametrize("options", [{}, {"max_versions": 7}, {"max_versions": 1}])
 def test_valid_at(spark, chained, options):
     facts, versions = histories(7, chained)
     left = spark.createDataFrame(facts, "number int, key string, at timestamp_ntz")
@@ -53,7 +53,7 @@ def test_slices_share_out_a_long_history(spark):
     """With slices no join key value meets more than a few versions."""
     facts, versions = histories(3, True)
     right = spark.createDataFrame(versions, "key string, s timestamp_ntz, e timestamp_ntz, name string")
-    long = joins._long_histories(right, "key", "s", 10)
+    long = joins._long_histories(joins._spans(right, "key", "s"), 10)
     side = right.join(long, F.col("key") == F.col("__long_key"), "left").withColumn(
         "slice", F.explode(F.sequence(joins._slice_of(F.col("s")), joins._slice_of(F.col("e"))))
     )
@@ -93,7 +93,7 @@ def test_sized_broadcasts_only_what_is_counted_small(spark, final_plan):
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
         plans = [
-            final_plan(joins.lookup(facts, joins.sized(dim, max_rows=bound)[0], {"key": "key"}, {"sk": "sk"})) for bound in (50, 49)
+            final_plan(joins.lookup(facts, joins.sized(dim, max_bytes=bound)[0], {"key": "key"}, {"sk": "sk"})) for bound in (50 * 32, 50 * 32 - 1)
         ]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
@@ -139,12 +139,11 @@ def test_hot_key_is_split_in_a_lookup(spark, small_skew, final_plan):
 
 
 @pytest.mark.parametrize("kind", ["bigint", "string", "date"])
-@pytest.mark.parametrize("options", [{}, {"ranges": 3, "probe": 10}, {"ranges": 50, "probe": 5}])
-def test_dense_keys(spark, kind, options):
+def test_dense_keys(spark, kind):
     base = spark.range(40).select((F.col("id") * 37 % 41).alias("n"))
     key = F.date_add(F.lit("2020-01-01").cast("date"), F.col("n").cast("int")) if kind == "date" else F.col("n").cast(kind)
     df = base.union(base).union(spark.range(1).select(F.lit(None))).select(key.alias("k"))
-    got = sorted((r.sk, r.k) for r in keys.dense_keys(df, "k", "sk", **options).collect())
+    got = sorted((r.sk, r.k) for r in keys.dense_keys(df, "k", "sk").collect())
     assert [sk for sk, _ in got] == list(range(1, 41))
     assert [k for _, k in got] == sorted(k for _, k in got)
 
@@ -201,3 +200,41 @@ def test_constraints(spark, rows):
     assert rows(quality.null_counts(df, ["k", "v"])) == [("k", 1), ("v", 1)]
     assert rows(quality.orphans(df, "k", spark.createDataFrame([(2,)], "id int"), "id")) == [(1, 2)]
     assert rows(quality.outside_set(df, "v", ["a", "b"])) == [(None, "c")]
+
+
+# --- as-of lookups far outside ordinary histories --------------------------------------------------
+
+
+def _asof(spark, versions, facts, **options):
+    v = spark.createDataFrame(versions, "k int, s string, e string, name int").withColumns(
+        {"s": F.col("s").cast("timestamp_ntz"), "e": F.col("e").cast("timestamp_ntz")}
+    )
+    f = spark.createDataFrame(facts, "k int, at string").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    got = joins.valid_at(f, v, "k", "k", "at", "s", "e", {"name": "name"}, **options)
+    return sorted(tuple(map(str, r)) for r in got.collect())
+
+
+@pytest.mark.parametrize("limit", [1, 10, 5000])
+def test_asof_gives_the_same_for_every_slice_size(spark, limit):
+    shared = [(1, "2020-01-01 00:00:00", "2100-01-01 00:00:00", i) for i in range(200)]
+    short = [(2, f"2020-01-01 00:00:00.{i:03d}", "2100-01-01 00:00:00", i) for i in range(30)] + [(2, "2020-01-01 00:00:01", "2100-01-01 00:00:00", 99)]
+    chain = [(3, f"20{i:02d}-01-01 00:00:00", f"20{i + 1:02d}-01-01 00:00:00", i) for i in range(10, 60)]
+    facts = [(k, at) for k in (1, 2, 3, 4, None) for at in ("1995-01-01 00:00:00", "2020-01-01 00:00:00.010", "2045-06-01 00:00:00", "2125-01-01 00:00:00")]
+    wanted = []
+    for k, at in facts:
+        found = [n for key, s, e, n in shared + short + chain if key == k and s < at <= e]
+        wanted += [(str(k), at.ljust(26, "0") if "." in at else at, str(n)) for n in found] or [(str(k), at.ljust(26, "0") if "." in at else at, "None")]
+    assert _asof(spark, shared + short + chain, facts, max_versions=limit) == sorted(wanted)
+
+
+def test_one_long_key_keeps_the_versions_broadcast(spark, plan):
+    v = spark.range(5000).select(
+        F.lit(1).alias("k"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("s"), F.timestamp_seconds(F.col("id") + 1).cast("timestamp_ntz").alias("e")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        f = spark.range(10).select(F.lit(1).alias("k"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("at"))
+        text = plan(joins.valid_at(f, v, "k", "k", "at", "s", "e", {"began": "s"}))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text.split("BroadcastExchange")[0]

@@ -61,7 +61,7 @@ def test_rides_are_summed_before_they_are_joined(spark, plan, no_broadcast):
 def test_small_increment_moves_no_target_row(spark, plan):
     target = spark.range(10).select(F.col("id").alias("k"), F.col("id").alias("v"))
     source = spark.range(5).select(F.col("id").alias("k"), F.lit(0).cast("bigint").alias("v"))
-    text = plan(mutate.merge(target, source, ["k"], update="all"))
+    text = plan(mutate.merge(target, source, ["k"], update="all", small=True))
     updated = text.split("LeftAnti")[0]
     assert "BroadcastHashJoin" in updated and "SortMergeJoin" not in updated
 

@@ -15,7 +15,6 @@ from wheelhouse.operators import scd2
 from wheelhouse.plans import dimensions
 from wheelhouse.sources import generated
 
-BIKE_TYPES = [(1, "City Bike"), (2, "E-Bike"), (3, "Step"), (4, "Scooter")]
 SUBSCRIPTION_TYPES = [(1, "1-URGENT"), (2, "2-HIGH"), (3, "3-MEDIUM"), (4, "4-NOT SPECIFIED"), (5, "5-LOW")]
 FIRST_WEATHER_DAY = 788_918_400  # 1995-01-01 00:00 UTC in epoch seconds
 REP_START, REP_RUN = "1996-01-01 00:00:00", "1998-06-01 00:00:00"
@@ -130,7 +129,9 @@ class Tables:
 
     @cached_property
     def bike_types(self) -> DataFrame:
-        return generated.inline_rows(self.spark, BIKE_TYPES, "bike_type_id int, description string")
+        kind = F.col("p_size") % 4 + 1
+        named = self.part.groupBy(kind.alias("bike_type_id")).agg(F.min(F.substring_index("p_type", " ", -1)).alias("maker"))
+        return named.select("bike_type_id", F.concat_ws("-", "maker", "bike_type_id").alias("description"))
 
     @cached_property
     def lots(self) -> DataFrame:
@@ -305,8 +306,9 @@ CTE = {
         CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS number, c_mktsegment AS zipcode,
         n_name AS city, 'R' || CAST(n_regionkey AS VARCHAR) AS country_code
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
-    "bike_types": """SELECT * FROM (VALUES (1, 'City Bike'), (2, 'E-Bike'), (3, 'Step'), (4, 'Scooter'))
-        v(bike_type_id, description)""",
+    "bike_types": """SELECT p_size % 4 + 1 AS bike_type_id,
+        min(regexp_extract(p_type, '[^ ]*$')) || '-' || CAST(p_size % 4 + 1 AS VARCHAR) AS description
+        FROM part GROUP BY p_size % 4 + 1""",
     "lots": "SELECT DISTINCT p_size AS lot_id, p_size % 4 + 1 AS bike_type_id FROM part",
     "vehicles": "SELECT p_partkey AS vehicle_id, p_name AS serial_number, p_size AS lot_id FROM part",
     "stations": """SELECT n_nationkey AS station_id, lpad(CAST(n_nationkey AS VARCHAR), 3, '0') AS station_nr,

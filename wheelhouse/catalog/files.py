@@ -202,29 +202,29 @@ def write_text_counts(t: Tables) -> DataFrame:
 
 @query(
     "write_graph_json",
-    with_tables(GRAPH_TABLES, "SELECT type, start_node, end_node, id FROM edges", base=BASE, edges=EDGES),
+    with_tables(GRAPH_TABLES, "SELECT type, startNode, endNode, id FROM edges", base=BASE, edges=EDGES),
 )
 def write_graph_json(t: Tables) -> DataFrame:
-    base = graph_base(t)
+    base = sink.staged(graph_base(t), "ride-base")
     written = write_graph(graph.nodes(base, t.stations), graph.edges(base, t.stations), scratch_dir(t.spark, "graph"))
-    schema = "id string, type string, start_node string, end_node string"
-    return t.spark.read.schema(schema).json(written["relationships"]).select("type", "start_node", "end_node", "id")
+    schema = "id string, type string, startNode string, endNode string"
+    return t.spark.read.schema(schema).json(written["relationships"]).select("type", "startNode", "endNode", "id")
 
 
 @query(
     "graph_dangling_edges",
     with_tables(
         GRAPH_TABLES,
-        """SELECT end_node AS key, count(*) AS row_count FROM edges WHERE end_node NOT IN (SELECT 'r-' || ride_id FROM base
+        """SELECT endNode AS key, count(*) AS row_count FROM edges WHERE endNode NOT IN (SELECT 'r-' || ride_id FROM base
             UNION ALL SELECT 's-' || station_id FROM stations UNION ALL SELECT 'd-' || district FROM stations
-            UNION ALL SELECT 'u-' || user_id FROM base UNION ALL SELECT 'v-' || vehicle_id FROM base) GROUP BY end_node""",
+            UNION ALL SELECT 'u-' || user_id FROM base UNION ALL SELECT 'v-' || vehicle_id FROM base) GROUP BY endNode""",
         base=BASE,
         edges=EDGES,
     ),
 )
 def graph_dangling_edges(t: Tables) -> DataFrame:
-    base = graph_base(t)
-    return quality.orphans(graph.edges(base, t.stations), "end_node", graph.nodes(base, t.stations), "id")
+    base = sink.staged(graph_base(t), "ride-base")
+    return quality.orphans(graph.edges(base, t.stations), "endNode", graph.nodes(base, t.stations), "id")
 
 
 @query(
@@ -263,8 +263,8 @@ def render_insert_rows(t: Tables) -> DataFrame:
 )
 def write_row_count_check(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "checked")
-    sink.write_parquet(t.customer, path)
-    return sink.row_counts(t.spark, t.customer, path)
+    written = sink.write_counted(t.customer, path)
+    return sink.row_counts(t.spark, written, path)
 
 
 @query(

@@ -254,7 +254,7 @@ NODES = """SELECT DISTINCT 'd-' || district AS id, 'District' AS label, to_json(
         UNION ALL SELECT 'r-' || ride_id, 'Ride', to_json({rideId: CAST(ride_id AS VARCHAR),
             startTime: strftime(start_time, '%Y-%m-%d %H:%M:%S'), endTime: strftime(end_time, '%Y-%m-%d %H:%M:%S'),
             duration: CAST(CAST(extract(epoch FROM end_time - start_time) AS DECIMAL(18,1)) AS VARCHAR)}) FROM base"""
-EDGES = """SELECT 'sd-' || station_id AS id, 'LOCATED_IN' AS type, 's-' || station_id AS start_node, 'd-' || district AS end_node
+EDGES = """SELECT 'sd-' || station_id AS id, 'LOCATED_IN' AS type, 's-' || station_id AS startNode, 'd-' || district AS endNode
             FROM stations
         UNION ALL SELECT 'rs-' || ride_id, 'STARTS_AT', 'r-' || ride_id, 's-' || start_station_id FROM base
         UNION ALL SELECT 're-' || ride_id, 'ENDS_AT', 'r-' || ride_id, 's-' || end_station_id FROM base WHERE end_station_id IS NOT NULL
@@ -273,7 +273,7 @@ def graph_ride_base(t: Tables) -> DataFrame:
 
 @query("graph_nodes", with_tables(GRAPH_TABLES, NODES, base=BASE))
 def graph_nodes(t: Tables) -> DataFrame:
-    found = graph.nodes(graph_base(t), t.stations)
+    found = graph.nodes(staged(graph_base(t), "ride-base"), t.stations)
     return found.select("id", F.col("labels")[0].alias("label"), F.to_json("properties").alias("properties"))
 
 
@@ -294,7 +294,7 @@ def graph_edges(t: Tables) -> DataFrame:
     ),
 )
 def graph_degree_summary(t: Tables) -> DataFrame:
-    base = graph_base(t)
+    base = staged(graph_base(t), "ride-base")
     return graph.summary(graph.nodes(base, t.stations), graph.edges(base, t.stations))
 
 

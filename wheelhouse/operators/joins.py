@@ -1,6 +1,6 @@
 """Lookups into dimensions.
 
-A dimension is broadcast only when its size is known: bounded by construction, counted by :func:`sized`, or
+A dimension is broadcast only when its size is known: bounded by construction, measured by :func:`sized`, or
 below Spark's own threshold.  Any other one is joined by a shuffle, where adaptive execution splits the
 partitions of hot keys.
 """
@@ -14,22 +14,33 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNKNOWN_KEY = -1
-BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
 
 
-def sized(*dimensions: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[DataFrame]:
-    """Mark the dimensions for broadcast that are counted to hold at most ``max_rows`` rows.
+def row_bytes(df: DataFrame) -> Column:
+    """About how many bytes a row takes in memory: strings as long as they are, other columns 16 each."""
+    sizes = [
+        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) + 16
+        if f.dataType.typeName() in ("string", "binary")
+        else F.lit(16)
+        for f in df.schema.fields
+    ]
+    return reduce(lambda a, b: a + b, sizes, F.lit(0)).cast("long")
+
+
+def sized(*dimensions: DataFrame, max_bytes: int = BROADCAST_BYTES) -> list[DataFrame]:
+    """Mark the dimensions for broadcast that are measured to hold at most ``max_bytes``.
 
     Spark multiplies the sizes of joined inputs when it plans, so a small dimension that is itself a join
-    looks huge, and every fact would be shuffled for it.  Counting all of them in one job costs little
+    looks huge, and every fact would be shuffled for it.  Measuring all of them in one job costs little
     beside that.  A larger dimension is returned as it is.
     """
     counts = [
-        dimension.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(i).alias("i"), "rows")
+        dimension.agg(F.coalesce(F.sum(row_bytes(dimension)), F.lit(0)).alias("size")).select(F.lit(i).alias("i"), "size")
         for i, dimension in enumerate(dimensions)
     ]
-    rows = {r.i: r.rows for r in reduce(DataFrame.union, counts).collect()}
-    return [F.broadcast(d) if rows[i] <= max_rows else d for i, d in enumerate(dimensions)]
+    sizes = {r.i: r["size"] for r in reduce(DataFrame.union, counts).collect()}
+    return [F.broadcast(d) if sizes[i] <= max_bytes else d for i, d in enumerate(dimensions)]
 
 
 def lookup(
@@ -69,16 +80,22 @@ def unmatched(source: DataFrame, target: DataFrame, keys: Sequence[str]) -> Data
     return source.join(target.select(*keys).distinct(), list(keys), "left_anti")
 
 
+_LONG_KEY_BYTES = 64  # of one row of :func:`_long_histories`
+
+
 def _spans(versions: DataFrame, key: str, start: str) -> DataFrame:
-    """Number of versions and time span of every key."""
+    """Bytes, number of different starts and time span of every key."""
     return versions.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__long_key")).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(start).alias("__lo"), F.max(start).alias("__hi")
+        F.sum(row_bytes(versions)).alias("__bytes"),
+        F.approx_count_distinct(start).alias("__n"),
+        F.min(start).alias("__lo"),
+        F.max(start).alias("__hi"),
     )
 
 
-def _long_histories(versions: DataFrame, key: str, start: str, max_versions: int) -> DataFrame:
-    """Keys with more than ``max_versions`` versions, with their time span and number of slices."""
-    return _spans(versions, key, start).where(F.col("__n") > max_versions).select(
+def _long_histories(spans: DataFrame, max_versions: int) -> DataFrame:
+    """Keys with more than ``max_versions`` different starts, with their time span and number of slices."""
+    return spans.where(F.col("__n") > max_versions).select(
         "__long_key", "__lo", "__hi", F.ceil(F.col("__n") / max_versions).cast("int").alias("__slices")
     )
 
@@ -87,9 +104,10 @@ def _slice_of(moment: Column) -> Column:
     """Slice number of a moment on its key's span: never decreases with time, and 0 for ordinary keys."""
     width = F.timestamp_diff("MICROSECOND", F.col("__lo"), F.col("__hi")) + F.lit(1)
     offset = F.timestamp_diff("MICROSECOND", F.col("__lo"), moment)
-    raw = F.floor(offset / width * F.col("__slices")).cast("int")
-    last = F.col("__slices") - 1
-    return F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(F.least(F.greatest(raw, F.lit(0)), last))
+    # Far outside the span the quotient is large: it is held within the slices before it becomes an int.
+    raw = F.floor(offset.cast("double") / width * F.col("__slices")).cast("double")
+    held = F.least(F.greatest(raw, F.lit(0.0)), (F.col("__slices") - 1).cast("double"))
+    return F.when(F.col("__slices").isNull(), F.lit(0)).otherwise(held.cast("int"))
 
 
 def valid_at(
@@ -102,18 +120,17 @@ def valid_at(
     end: str,
     take: Mapping[str, str],
     max_versions: int = 1000,
-    inline_limit: int = 10_000,
 ) -> DataFrame:
     """Left as-of lookup: the version with ``start < at <= end`` for every fact.
 
     Fact and version meet on the key; the interval is checked on the matching pairs.  For a key with very
     many versions that would compare every fact with the whole history, so its span is cut into slices of
-    about ``max_versions`` versions each: a version is repeated in the slices it touches, a fact falls into
-    one.  The result is the same, the work per key becomes linear, and a hot key spreads over tasks.
+    about ``max_versions`` different starts each: a version is repeated in the slices it touches, a fact
+    falls into one.  Versions with one start are in one slice, however many they are.  The result is the
+    same, the work per key becomes linear, and a hot key spreads over tasks.
 
-    One job counts the versions and such keys first.  Up to ``inline_limit`` of the keys are broadcast to
-    the facts; a longer list is joined like any other table, and without any the lookup is a plain join.
-    The versions themselves are broadcast when they are few, as in :func:`sized`.
+    One job measures the versions and counts such keys first.  The keys, and the versions with or without
+    slices, are broadcast when they are small, as in :func:`sized`, and joined like any other table if not.
     """
     side = versions.select(
         F.col(version_key).alias("__key"),
@@ -121,14 +138,13 @@ def valid_at(
         F.col(end).alias("__end"),
         *(F.col(column).alias(f"__{name}") for name, column in take.items()),
     )
-    long_keys = _long_histories(side, "__key", "__start", max_versions)
-    size = _spans(side, "__key", "__start").agg(
-        F.sum("__n").alias("rows"), F.count_if(F.col("__n") > max_versions).alias("long")
-    ).first()
+    spans = _spans(side, "__key", "__start")
+    size = spans.agg(F.sum("__bytes").alias("bytes"), F.count_if(F.col("__n") > max_versions).alias("long")).first()
     matches = (F.col(fact_key) == F.col("__key")) & (F.col(at) > F.col("__start")) & (F.col(at) <= F.col("__end"))
     left = facts
     if size.long:
-        if size.long <= inline_limit:
+        long_keys = _long_histories(spans, max_versions)
+        if size.long * _LONG_KEY_BYTES <= BROADCAST_BYTES:
             long_keys = F.broadcast(long_keys)
         helper = ["__long_key", "__lo", "__hi", "__slices"]
         left = (
@@ -144,7 +160,8 @@ def valid_at(
             .drop(*helper)
         )
         matches = matches & (F.col("__fact_slice") == F.col("__slice"))
-    elif (size.rows or 0) <= BROADCAST_ROWS:
+        (side,) = sized(side.where(F.col("__key").isNotNull()))
+    elif (size.bytes or 0) <= BROADCAST_BYTES:
         side = F.broadcast(side.where(F.col("__key").isNotNull()))
     joined = left.join(side, matches, "left")
     kept = [c for c in facts.columns if c not in take]

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from wheelhouse.sinks.files import staged
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The row with the greatest ``order`` values per key.
@@ -20,32 +22,25 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column])
     return picked.select(*(F.col(c) if c in keys else F.col(f"__best.{c}").alias(c) for c in df.columns))
 
 
-def dense_keys(df: DataFrame, key: str, name: str, ranges: int = 256, probe: int = 10_000) -> DataFrame:
+def dense_keys(df: DataFrame, key: str, name: str) -> DataFrame:
     """Number the distinct values of ``key`` 1, 2, 3, ... in ascending order.
 
-    A single ordered window would put the whole table into one task.  Instead the keys are cut into
-    ``ranges`` ranges at fixed points, numbered inside each range, and shifted by the sizes of the ranges
-    before it.  The cut points come from a probe of at most ``probe`` keys; they only decide how even the
-    ranges are, never the result.
+    A single ordered window would put the whole table into one task.  Instead the keys are dealt out by
+    range and sorted, every row takes its place within its task, and the places are shifted by the number
+    of keys in the tasks before.  The ranges decide how even the tasks are, never the result.
     """
-    from pyspark.sql import Window
-
     values = df.where(F.col(key).isNotNull()).select(key).distinct()
-    seen = sorted(r[0] for r in values.orderBy(F.xxhash64(key), key).limit(probe).collect())
-    step = max(1, len(seen) // ranges)
-    cuts = [F.lit(v) for v in seen[step::step]]
-    # The number of cut points not above the key.
-    place = F.size(F.filter(F.array(*cuts), lambda cut: cut <= F.col(key))) if cuts else F.lit(0)
-    placed = values.withColumn("__range", place)
-    # At most `ranges` + 1 rows, so this ordered window and the broadcast are of fixed size.
-    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    shift = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")).select(
-        "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
+    # The id holds the number of the task in its upper bits and the place within the task in the lower 33.
+    ordered = values.repartitionByRange(key).sortWithinPartitions(key).withColumn("__id", F.monotonically_increasing_id())
+    placed = staged(ordered, "dense-keys").select(
+        key, F.shiftright("__id", 33).alias("__task"), F.col("__id").bitwiseAND((1 << 33) - 1).alias("__place")
     )
-    inside = F.row_number().over(Window.partitionBy("__range").orderBy(key))
-    return placed.withColumn("__inside", inside).join(F.broadcast(shift), "__range").select(
-        key, (F.col("__inside") + F.col("__before")).alias(name)
+    # One row per task, so this ordered window and the broadcast are as small as the number of tasks.
+    before = Window.orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
+    shift = placed.groupBy("__task").agg(F.count(F.lit(1)).alias("__n")).select(
+        "__task", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before")
     )
+    return placed.join(F.broadcast(shift), "__task").select(key, (F.col("__place") + F.col("__before") + 1).alias(name))
 
 
 def version_chains(df: DataFrame, key: str, start: str, end: str, current: str) -> DataFrame:

@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Share out an input that comes in fewer pieces than there are cores.
+    """Share out a scan of fewer files than there are cores, before costly work on each row.
 
-    Meant for a scan before costly work on each row: a single file with one row group, or a compressed text
-    file, would otherwise keep one core busy.  An input with enough pieces is returned as it is, so at
-    scale nothing is moved.  Only for plans without a shuffle, whose number of pieces is known beforehand.
+    A single file with one row group, or a compressed text file, would otherwise keep one core busy.  An
+    input of many files is returned as it is, so at scale nothing is moved.  Only the names of the files
+    are looked at; nothing is run.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

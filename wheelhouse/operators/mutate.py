@@ -58,13 +58,21 @@ def _same_key(keys: Sequence[str]) -> Column:
     return condition
 
 
-def _found() -> Column:
-    """Whether the target row has a source row; more than one is an error, as it is for MERGE."""
+def _matched() -> Column:
+    return F.col(_MATCHES).isNotNull()
+
+
+def _unambiguous(df: DataFrame, in_target: Column | None = None) -> DataFrame:
+    """The rows, or an error if several source rows meet one target row, as it is for MERGE.
+
+    The error is raised by a filter, which no later choice of columns can remove.
+    """
     several = F.raise_error("MERGE: several source rows match the same target row").cast("boolean")
-    return F.when(F.col(_MATCHES) > 1, several).otherwise(F.col(_MATCHES).isNotNull())
+    met = F.col(_MATCHES) > 1
+    return df.where(F.when(met if in_target is None else met & in_target, several).otherwise(F.lit(True)))
 
 
-def _set(target: DataFrame, condition: Column, values: Mapping[str, Column]) -> DataFrame:
+def _set(target: DataFrame, condition: Column, values: Mapping[str, Column]) -> list[Column]:
     kinds = {f.name: f.dataType for f in target.schema.fields}
     return [
         F.when(condition, values[c]).otherwise(F.col(c)).cast(kinds[c]).alias(c) if c in values else F.col(c)
@@ -81,6 +89,7 @@ def merge(
     insert: Mapping[str, Column] | str | None = "all",
     only_source: Column | None = None,
     only_target: Column | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """``MERGE INTO target USING source``.
 
@@ -88,39 +97,58 @@ def merge(
     it.  ``insert`` holds the values for unmatched source rows by source column, ``"all"`` takes them as
     they are.  ``only_source`` and ``only_target`` are further terms of the ON condition on one side.
 
-    The target is on the streamed side of a left join, and the inserts come from the source alone.  An
-    increment below Spark's broadcast threshold therefore moves no target row; a larger one shuffles
-    both sides on the key, where a hot target key can still be split.
+    With an update list, target and source meet once in a full outer join, which gives updates and
+    inserts together: the target is read once, the source twice (its rows, and how many share a key).
+    ``small`` states that the source has a fixed size bound: it is then broadcast, and the target is read
+    twice but not moved.  Without an update list only the keys of the target are looked at.
     """
-    can_match = source if only_source is None else source.where(only_source)
-    condition = _same_key(keys) if only_target is None else _same_key(keys) & only_target
-    side = _by_key(can_match, keys)
     if update == "all":
         update = {c: incoming(c) for c in target.columns if c in source.columns}
-    hit = _found() if when is None else _found() & _holds(when)
-    updated = target.join(side, condition, "left").select(*_set(target, hit, update or {}))
-    if insert is None:
-        return updated
-    present = target if only_target is None else target.where(only_target)
-    wanted = can_match.select(*keys).distinct()
-    matched = present.select(*keys).join(wanted, list(keys), "left_semi").distinct()
-    matched = matched.select(*(F.col(k).alias(f"__t_{k}") for k in keys))
-    same = F.col(keys[0]) == F.col(f"__t_{keys[0]}")
-    for key in keys[1:]:
-        same = same & (F.col(key) == F.col(f"__t_{key}"))
-    new = source.join(matched, same if only_source is None else same & only_source, "left_anti")
-    values = {c: F.col(c) for c in target.columns if c in source.columns} if insert == "all" else dict(insert)
+    can_match = source if only_source is None else source.where(_holds(only_source))
+    condition = _same_key(keys) if only_target is None else _same_key(keys) & _holds(only_target)
+    values = {c: F.col(c) for c in target.columns if c in source.columns} if insert == "all" else dict(insert or {})
     kinds = {f.name: f.dataType for f in target.schema.fields}
-    added = new.select(
-        *(values.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in target.columns)
+
+    fresh = [values.get(c, F.lit(None)).cast(kinds[c]).alias(c) for c in target.columns]
+
+    hit = _matched() if when is None else _matched() & _holds(when)
+    if small or insert is None or not update:
+        changed = target
+        if update:
+            side = _by_key(can_match, keys)
+            joined = target.join(F.broadcast(side) if small else side, condition, "left")
+            changed = _unambiguous(joined).select(*_set(target, hit, update))
+        if insert is None:
+            return changed
+        present = target if only_target is None else target.where(_holds(only_target))
+        taken = present.select(*(F.col(k).alias(f"__t_{k}") for k in keys))
+        if small:
+            wanted = can_match.select(*(F.col(k).alias(f"__w_{k}") for k in keys)).distinct()
+            taken = taken.join(F.broadcast(wanted), [F.col(f"__t_{k}") == F.col(f"__w_{k}") for k in keys], "left_semi").distinct()
+        on = [F.col(k) == F.col(f"__t_{k}") for k in keys]
+        new = source.join(taken, on if only_source is None else [*on, _holds(only_source)], "left_anti")
+        return changed.unionByName(new.select(*fresh))
+
+    shared = can_match.groupBy(*(F.col(k).alias(f"__n_{k}") for k in keys)).agg(F.count(F.lit(1)).alias(_MATCHES))
+    counted = can_match.join(shared, [F.col(k) == F.col(f"__n_{k}") for k in keys], "left")
+    side = counted.select(
+        F.coalesce(F.col(_MATCHES), F.lit(1)).alias(_MATCHES),
+        *(F.col(c).alias(f"__s_{c}") for c in source.columns),
+        F.struct(*fresh).alias("__fresh"),
     )
-    return updated.unionByName(added)
+    in_target = F.col("__in_target").isNotNull()
+    joined = _unambiguous(target.withColumn("__in_target", F.lit(True)).join(side, condition, "full"), in_target)
+    old = F.struct(*_set(target, hit, update))
+    whole = joined.select(F.when(in_target, old).otherwise(F.col("__fresh")).alias("__row")).select("__row.*")
+    if only_source is None:
+        return whole
+    return whole.unionByName(source.where(~_holds(only_source)).select(*fresh))
 
 
 def update_from(target: DataFrame, source: DataFrame, keys: Sequence[str], values: Mapping[str, Column]) -> DataFrame:
     """``UPDATE target SET ... FROM source``: rows without a source row stay as they are."""
-    side = _by_key(source, keys)
-    return target.join(side, _same_key(keys), "left").select(*_set(target, _found(), values))
+    joined = target.join(_by_key(source, keys), _same_key(keys), "left")
+    return _unambiguous(joined).select(*_set(target, _matched(), values))
 
 
 def shift_dates(df: DataFrame, columns: Sequence[str], years: int) -> DataFrame:

@@ -61,27 +61,59 @@ def initial_load(source: DataFrame, spec: Type2, start_ts: str) -> DataFrame:
     return hashed(source, spec).select(*(version[c].alias(c) for c in spec.columns))
 
 
-def _with_current(dimension: DataFrame, source: DataFrame, spec: Type2, how: str) -> DataFrame:
-    """Current versions (own names) and source rows (``__s_`` names) side by side."""
-    side = hashed(source, spec)
-    side = side.select(*(F.col(c).alias(f"__s_{c}") for c in side.columns), F.lit(True).alias("__s_row"))
-    current = dimension.where(F.col(spec.current))
+def _is_current(spec: Type2) -> Column:
+    """A version whose flag is NULL is a closed one."""
+    return F.coalesce(F.col(spec.current), F.lit(False))
+
+
+def _once(source: DataFrame, spec: Type2) -> DataFrame:
+    """The snapshot's rows, one per key; a repeated key or a NULL one is an error."""
+    rows = hashed(source, spec)
+    rest = [c for c in rows.columns if c != spec.key]
+    single = rows.groupBy(spec.key).agg(F.count(F.lit(1)).alias("__n"), F.any_value(F.struct(*rest)).alias("__row"))
+    wrong = F.when(F.col(spec.key).isNull(), "type-2 load: the snapshot has a row without key").when(
+        F.col("__n") > 1, "type-2 load: the snapshot has a key twice"
+    )
+    sound = F.when(wrong.isNotNull(), F.raise_error(wrong).cast("boolean")).otherwise(F.lit(True))
+    return single.where(sound).select(spec.key, *(F.col(f"__row.{c}").alias(c) for c in rest))
+
+
+def _in_time(joined: DataFrame, spec: Type2, closes: Column, run: Column) -> DataFrame:
+    """The rows, or an error if a version would end before, or when, it starts."""
+    late = F.raise_error("type-2 load: the run is not after the start of a version that it closes").cast("boolean")
+    return joined.where(F.when(F.coalesce(closes, F.lit(False)) & (F.col(spec.start) >= run), late).otherwise(F.lit(True)))
+
+
+def _with_current(dimension: DataFrame, rows: DataFrame, spec: Type2, how: str) -> DataFrame:
+    """Current versions (own names) and hashed source rows (``__s_`` names) side by side."""
+    side = rows.select(*(F.col(c).alias(f"__s_{c}") for c in rows.columns), F.lit(True).alias("__s_row"))
+    current = dimension.where(_is_current(spec))
     if how == "left":
         return side.join(current, F.col(spec.key) == incoming(spec.key), "left")
     return current.join(side, F.col(spec.key) == incoming(spec.key), how)
 
 
 def _is_new(spec: Type2) -> Column:
-    return F.col("__s_row").isNotNull() & F.col(spec.key).isNull()
+    return F.col("__s_row").isNotNull() & F.col(spec.current).isNull()
 
 
 def _is_changed(spec: Type2) -> Column:
-    return F.coalesce(F.col(spec.hash) != incoming(spec.hash), F.lit(False))
+    """Column by column, so that no two different rows pass for one by equal hashes.
+
+    Under the policy ``"concat"`` a row that holds a NULL has no hash and never counts as changed.
+    """
+    both = F.col(spec.current).isNotNull() & F.col("__s_row").isNotNull()
+    differs = F.lit(False)
+    for column in spec.tracked:
+        differs = differs | ~F.col(column).eqNullSafe(incoming(column))
+    if spec.hash_policy == "concat":
+        differs = differs & F.col(spec.hash).isNotNull() & incoming(spec.hash).isNotNull()
+    return both & differs
 
 
 def detect_changes(dimension: DataFrame, source: DataFrame, spec: Type2) -> DataFrame:
     """Every source row with the verdict ``new``, ``changed`` or ``unchanged``."""
-    joined = _with_current(dimension, source, spec, "left")
+    joined = _with_current(dimension, hashed(source, spec), spec, "left")
     verdict = F.when(_is_new(spec), "new").when(_is_changed(spec), "changed").otherwise("unchanged")
     return joined.select(
         *(incoming(c).alias(c) for c in (spec.key, *spec.tracked, spec.hash)), verdict.alias("change")
@@ -96,14 +128,16 @@ def apply_snapshot(
     Current versions meet the snapshot in one full outer join; every pair gives the kept or closed
     version and, if needed, its successor.  Closed versions pass by without a shuffle.  Nothing is
     collected and nothing is committed half way.  Keys absent from the snapshot stay open unless
-    ``close_missing`` is set.  The snapshot holds every key once.
+    ``close_missing`` is set.  A snapshot with a NULL key or a key twice is an error, as is a run that is not
+    after the start of a version it closes.
     """
     run = _moment(run_ts)
-    joined = _with_current(dimension, source, spec, "full")
-    held = F.col(spec.key).isNotNull()
+    joined = _with_current(dimension, _once(source, spec), spec, "full")
+    held = F.col(spec.current).isNotNull()
     closes = _is_changed(spec)
     if close_missing:
         closes = closes | (held & F.col("__s_row").isNull())
+    joined = _in_time(joined, spec, closes, run)
     old = {c: F.col(c) for c in spec.columns}
     old[spec.end] = F.when(closes, run).otherwise(F.col(spec.end))
     old[spec.current] = F.when(closes, F.lit(False)).otherwise(F.col(spec.current))
@@ -114,14 +148,15 @@ def apply_snapshot(
             F.when(_is_new(spec) | _is_changed(spec), F.struct(*(new[c].alias(c) for c in spec.columns))),
         )
     )
-    closed = dimension.where(~F.col(spec.current)).select(*spec.columns)
+    closed = dimension.where(~_is_current(spec)).select(*spec.columns)
     return joined.select(F.inline(versions)).unionByName(closed)
 
 
 def upsert_rows(dimension: DataFrame, source: DataFrame, spec: Type2, run_ts: str) -> DataFrame:
     """The rows to bring into the dimension: new versions and closed forms of the ones they replace."""
     run = _moment(run_ts)
-    joined = _with_current(dimension, source, spec, "left").where(_is_new(spec) | _is_changed(spec))
+    joined = _with_current(dimension, _once(source, spec), spec, "left").where(_is_new(spec) | _is_changed(spec))
+    joined = _in_time(joined, spec, _is_changed(spec), run)
     new = _new_version(spec, run, "__s_")
     old = {c: F.col(c) for c in spec.columns}
     old[spec.end], old[spec.current] = run, F.lit(False)
@@ -142,6 +177,6 @@ def apply_merge(dimension: DataFrame, upserts: DataFrame, spec: Type2) -> DataFr
         [spec.key],
         update={spec.end: incoming(spec.end), spec.current: incoming(spec.current)},
         insert="all",
-        only_source=~F.col(spec.current),
-        only_target=F.col(spec.current),
+        only_source=~_is_current(spec),
+        only_target=_is_current(spec),
     )

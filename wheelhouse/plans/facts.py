@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from wheelhouse.functions import dates, geo, weather
 from wheelhouse.functions.hashing import money, plain_hash
-from wheelhouse.operators.joins import UNKNOWN_KEY, lookup, sized, valid_at
-from wheelhouse.operators.limits import above_watermark
+from wheelhouse.operators.joins import UNKNOWN_KEY, lookup, sized, unmatched, valid_at
 from wheelhouse.operators.mutate import incoming, merge
 
 # Fixed values.
@@ -124,8 +123,12 @@ def ride_facts(measures: DataFrame, dimensions: RideDimensions, user_lookup: str
 
 
 def new_rides(rides: DataFrame, loaded_facts: DataFrame) -> DataFrame:
-    """Rides that come after the last loaded one."""
-    return above_watermark(rides, loaded_facts, "ride_id", "ride_id")
+    """Rides that are not loaded yet, whatever their number.
+
+    A ride that comes late, or whose end was unknown when later ones were loaded, is found by a later run;
+    a mark at the greatest loaded number would pass it by for ever.
+    """
+    return unmatched(rides, loaded_facts, ["ride_id"])
 
 
 def sales_facts(sales: DataFrame, dim_date: DataFrame, dim_salesrep: DataFrame, max_versions: int = 1000) -> DataFrame:

@@ -19,8 +19,17 @@ def ride_base(
     users: DataFrame,
     locks: DataFrame,
     stations: DataFrame,
+    since: str | None = None,
+    until: str | None = None,
 ) -> DataFrame:
-    """Rides with vehicle, user and both stations; the end station is optional."""
+    """Rides with vehicle, user and both stations; the end station is optional.
+
+    ``since`` and ``until`` keep the rides that start on these days or between them.
+    """
+    if since is not None:
+        rides = rides.where(F.col("start_time") >= F.lit(since).cast("date").cast("timestamp_ntz"))
+    if until is not None:
+        rides = rides.where(F.col("start_time") < F.date_add(F.lit(until).cast("date"), 1).cast("timestamp_ntz"))
     placed, people = sized(locks.join(stations, "station_id"), users.select("user_id", "email", "city"))
 
     def side(name: str) -> DataFrame:
@@ -51,8 +60,8 @@ def _edge(edge_id: Column, kind: str, start: Column, end: Column) -> Column:
     return F.struct(
         edge_id.alias("id"),
         F.lit(kind).alias("type"),
-        start.alias("start_node"),
-        end.alias("end_node"),
+        start.alias("startNode"),
+        end.alias("endNode"),
         F.create_map().cast("map<string,string>").alias(PROPERTIES),
     )
 

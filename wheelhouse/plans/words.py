@@ -16,7 +16,7 @@ def lines_of(documents: DataFrame, text: str) -> DataFrame:
 
 def words(lines: DataFrame, text: str) -> DataFrame:
     """One row per word; empty strings between neighbouring blanks are left out."""
-    separated = spread(lines.select(text)).select(F.explode(words_of(F.col(text))).alias("word"))
+    separated = lines.select(F.explode(words_of(F.col(text))).alias("word"))
     return separated.where(F.col("word") != "")
 
 

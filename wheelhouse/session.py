@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -38,26 +37,25 @@ def build_session(app: str = "wheelhouse", master: str | None = None, **conf: st
     return tune(builder.getOrCreate())
 
 
-_local_scratch: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a temporary one only for a local master."""
+    """The shared folder named by ``spark.checkpoint.dir``, or else one beside the tables of the warehouse.
+
+    Both are places that every executor reaches; a folder of one machine is never chosen here.
+    """
     shared = spark.conf.get("spark.checkpoint.dir", "")
-    if shared:
-        return shared.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_scratch:
-        _local_scratch[app] = tempfile.mkdtemp(prefix="wheelhouse-")
-    return _local_scratch[app]
+    return shared.rstrip("/") if shared else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A fresh, not yet existing folder below :func:`scratch_root`."""
-    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A fresh, not yet existing folder of this application below :func:`scratch_root`."""
+    return f"{scratch_root(spark)}/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written to scratch folders; whoever owns the run calls it at its end."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def secret(name: str) -> str:

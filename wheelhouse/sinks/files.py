@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wheelhouse.session import scratch_dir
@@ -71,10 +71,15 @@ def insert_statements(table: str, columns: Sequence[str], literals: Sequence[Col
     return F.concat(F.lit(f"INSERT INTO {table} ({', '.join(columns)}) VALUES ("), values, F.lit(");"))
 
 
-def row_counts(spark: SparkSession, written: DataFrame, path: str) -> DataFrame:
-    """Compare what was to be written with what can be read back, as one row."""
-    expected = written.agg(F.count(F.lit(1)).alias("expected"))
+def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
+    """Write and count in the same pass; the number of rows that went to the files."""
+    seen = Observation()
+    write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
+    return seen.get["rows"]
+
+
+def row_counts(spark: SparkSession, written: int, path: str) -> DataFrame:
+    """Compare the number of rows that were written with what can be read back, as one row."""
     found = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("found"))
-    return expected.select(
-        "expected", found.scalar().alias("found"), (F.col("expected") == found.scalar()).alias("matches")
-    )
+    expected = F.lit(written).cast("long")
+    return found.select(expected.alias("expected"), "found", (F.col("found") == expected).alias("matches"))

@@ -56,12 +56,14 @@ def open_views(spark: SparkSession, tables: Mapping[str, str]) -> dict[str, Data
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether Spark can open a Parquet dataset there (reads its metadata only)."""
+    """Whether there is a Parquet dataset (reads its metadata only); any fault but "not found" is raised."""
     from pyspark.errors import AnalysisException
 
     try:
         spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return False
     return True
 

@@ -29,6 +29,20 @@ class RangeSplit:
         }
 
 
+# SQLSTATE codes by which common databases report a missing table.
+_NO_SUCH_TABLE = frozenset({"42704", "42P01", "42S02", "42S04", "42X05"})
+
+
+def _sql_state(error: BaseException) -> str | None:
+    """The SQLSTATE of the database's own exception behind an error, if there is one."""
+    cause = getattr(error, "java_exception", None) or getattr(getattr(error, "_origin", None), "java_exception", None)
+    while cause is not None:
+        if hasattr(cause, "getSQLState") and "SQLException" in cause.getClass().getName():
+            return cause.getSQLState()
+        cause = cause.getCause()
+    return getattr(error, "sql_state", None)
+
+
 @dataclass(frozen=True)
 class Database:
     url: str
@@ -59,10 +73,12 @@ class Database:
         return (reader.options(**split.options()) if split else reader).load()
 
     def has_table(self, spark: SparkSession, name: str) -> bool:
-        """Probe a table by opening it; only its schema is fetched."""
+        """Probe a table by opening it; only its schema is fetched.  Any fault but a missing table is raised."""
         try:
             self.table(spark, name)
-        except Exception:  # the JDBC driver decides the class of the error
+        except Exception as error:  # the JDBC driver decides the class of the error
+            if _sql_state(error) not in _NO_SUCH_TABLE:
+                raise
             return False
         return True
 
