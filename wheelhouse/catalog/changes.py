@@ -229,3 +229,42 @@ def scd2_apply_merge(t: Tables) -> DataFrame:
     source = t.users.withColumn("number", F.coalesce("number", F.lit("1")))
     upserts = scd2.upsert_rows(t.dim_user, source, USER_SPEC, "1997-03-01 00:00:00")
     return scd2.apply_merge(t.dim_user, upserts, USER_SPEC)
+
+
+def operated_orders(t: Tables) -> DataFrame:
+    """The log of a table that was loaded, updated, deleted from and merged into."""
+    columns = ("o_orderkey", "o_orderstatus", "o_orderpriority", "o_totalprice")
+    loaded = t.orders.select(*columns)
+    status, low = F.col("o_orderstatus"), F.col("o_orderpriority") == "5-LOW"
+    raised = mutate.update_where(loaded, status == "F", {"o_totalprice": F.col("o_totalprice") + 1})
+    reduced = mutate.delete_where(raised, low)
+    back = loaded.where((low & (status == "O")) | (status == "P")).withColumn("o_totalprice", F.col("o_totalprice") + 2)
+    merged = mutate.merge(reduced, back, ["o_orderkey"], update="all")
+    moments = [f"2024-02-0{day} 00:00:00" for day in (1, 2, 3, 4)]
+    return versioned.log_of(list(zip((loaded, raised, reduced, merged), moments)), ["o_orderkey"])
+
+
+@query(
+    "history_of_operations",
+    """SELECT * FROM (
+        SELECT 0 AS version, TIMESTAMP '2024-02-01 00:00:00' AS commit_ts, count(*) AS inserted, 0::BIGINT AS updated, 0::BIGINT AS deleted FROM orders
+        UNION ALL SELECT 1, TIMESTAMP '2024-02-02 00:00:00', 0, count(*), 0 FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL SELECT 2, TIMESTAMP '2024-02-03 00:00:00', 0, 0, count(*) FROM orders WHERE o_orderpriority = '5-LOW'
+        UNION ALL SELECT 3, TIMESTAMP '2024-02-04 00:00:00',
+            count(*) FILTER (WHERE o_orderpriority = '5-LOW' AND o_orderstatus IN ('O', 'P')),
+            count(*) FILTER (WHERE o_orderpriority <> '5-LOW' AND o_orderstatus = 'P'), 0 FROM orders)
+        WHERE inserted + updated + deleted > 0""",
+)
+def history_of_operations(t: Tables) -> DataFrame:
+    return versioned.history(operated_orders(t))
+
+
+@query(
+    "state_after_operations",
+    """SELECT o_orderkey, o_orderstatus, o_orderpriority,
+        o_totalprice + CASE WHEN o_orderstatus = 'P' OR (o_orderstatus = 'O' AND o_orderpriority = '5-LOW') THEN 2
+                            WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS o_totalprice
+        FROM orders WHERE o_orderpriority <> '5-LOW' OR o_orderstatus IN ('O', 'P')""",
+)
+def state_after_operations(t: Tables) -> DataFrame:
+    return versioned.state_at(operated_orders(t), ["o_orderkey"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,9 +15,9 @@ from wheelhouse.operators import limits
 from wheelhouse.operators.joins import sized
 from wheelhouse.plans import dimensions, facts, graph, rides, sales, words
 from wheelhouse.session import scratch_dir
-from wheelhouse.sinks.files import staged, write_parquet
+from wheelhouse.sinks.files import staged, write_all, write_parquet
 from wheelhouse.sources import generated
-from wheelhouse.sources.files import read_parquet
+from wheelhouse.sources.files import read_optional, read_parquet
 
 AS_OF = "1998-12-31 00:00:00"
 
@@ -512,3 +514,69 @@ def employees_per_postal_code(t: Tables) -> DataFrame:
     return sales.people_per_place(t.customer, places, "c_custkey", "person_id", "place")
 
 
+# --- the mart as it is stored --------------------------------------------------------------------
+
+
+@query(
+    "fact_ride_stored",
+    with_tables(
+        FACT_TABLES,
+        FACTS.replace("ride_distance,", "CAST(CAST(ride_distance AS DECIMAL(18,3)) AS DECIMAL(10,2)) AS ride_distance,", 1),
+        measures=MEASURES,
+    ),
+)
+def fact_ride_stored(t: Tables) -> DataFrame:
+    """The fact with its stored types, written and read back."""
+    path = scratch_dir(t.spark, "fact-stored")
+    write_parquet(facts.as_stored(fact_rides(t)), path)
+    return read_parquet(t.spark, path)
+
+
+NO_WEATHER = "SELECT '' AS zipcode, TIMESTAMP '2000-01-01 00:00:00' AS weather_hour, '' AS weather_type WHERE FALSE"
+
+
+@query(
+    "fact_ride_without_weather",
+    with_tables(FACT_TABLES.replace(" weather_hourly", ""), FACTS, weather_hourly=NO_WEATHER, measures=MEASURES),
+)
+def fact_ride_without_weather(t: Tables) -> DataFrame:
+    """No weather was ever loaded: every ride gets the unknown member."""
+    schema = dimensions.weather_hourly(t.weather_documents).schema
+    hourly = read_optional(t.spark, scratch_dir(t.spark, "no-weather"), schema)
+    opened = facts.RideDimensions(t.dim_date, dimensions.weather_members(t.spark), t.dim_user, t.dim_lock, t.lock_places, hourly)
+    opened = opened.counted()
+    return facts.ride_facts(measured(t, t.order_rides, opened.places), opened)
+
+
+MART = ("dim_date", "dim_user", "dim_lock", "weather_members", "weather_hourly")
+
+
+@query(
+    "write_whole_mart",
+    with_tables(
+        FACT_TABLES + " vehicles lots bike_types",
+        " UNION ALL ".join(f"SELECT '{name}' AS name, count(*) AS total FROM {name}" for name in MART)
+        + " UNION ALL SELECT 'dim_vehicle', count(*) FROM vehicles JOIN lots USING (lot_id) JOIN bike_types USING (bike_type_id)"
+        + " UNION ALL SELECT 'fact_ride', count(*) FROM facts",
+        measures=MEASURES,
+        facts=FACTS,
+    ),
+)
+def write_whole_mart(t: Tables) -> DataFrame:
+    """Dimensions, staged weather and fact in one export; the counts come from the files."""
+    opened = ride_dimensions(t)
+    fact = facts.ride_facts(measured(t, t.order_rides, opened.places), opened)
+    tables = {
+        "dim_date": t.dim_date,
+        "dim_user": t.dim_user,
+        "dim_vehicle": dimensions.vehicles(t.vehicles, t.lots, t.bike_types),
+        "dim_lock": t.dim_lock,
+        "weather_members": dimensions.weather_members(t.spark),
+        "weather_hourly": opened.hourly_weather,
+        "fact_ride": facts.as_stored(fact),
+    }
+    folder = scratch_dir(t.spark, "mart")
+    counts = []
+    for name in write_all(tables, folder):
+        counts.append(read_parquet(t.spark, f"{folder}/{name}").agg(F.count(F.lit(1)).alias("total")).select(F.lit(name).alias("name"), "total"))
+    return reduce(DataFrame.unionByName, counts)

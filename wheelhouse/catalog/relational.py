@@ -507,3 +507,32 @@ def check_in_set(t: Tables) -> DataFrame:
     return quality.outside_set(t.events.select("event_id", "event_type"), "event_type", ["view", "click", "purchase"])
 
 
+# The foreign keys of the operational schema (child, column, parent, key).
+REFERENCES = [
+    ("subscriptions", "user_id", "users", "user_id"),
+    ("subscriptions", "subscription_type_id", "subscription_types", "subscription_type_id"),
+    ("rides", "subscription_id", "subscriptions", "subscription_id"),
+    ("rides", "vehicle_id", "vehicles", "vehicle_id"),
+    ("rides", "start_lock_id", "locks", "lock_id"),
+    ("rides", "end_lock_id", "locks", "lock_id"),
+    ("vehicles", "lot_id", "lots", "lot_id"),
+    ("lots", "bike_type_id", "bike_types", "bike_type_id"),
+    ("locks", "station_id", "stations", "station_id"),
+]
+
+
+@query(
+    "fk_violations_schema",
+    with_tables(
+        "subscriptions subscription_types users rides vehicles locks lots bike_types stations",
+        " UNION ALL ".join(
+            f"""SELECT '{child}.{column}' AS reference, count(DISTINCT {column}) AS orphan_keys, count(*) AS orphan_rows
+            FROM {child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {parent})"""
+            for child, column, parent, key in REFERENCES
+        ),
+    ),
+)
+def fk_violations_schema(t: Tables) -> DataFrame:
+    return quality.reference_check(
+        [(f"{child}.{column}", getattr(t, child), column, getattr(t, parent), key) for child, column, parent, key in REFERENCES]
+    )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,3 +38,17 @@ def null_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 def outside_set(df: DataFrame, column: str, allowed: Sequence[object]) -> DataFrame:
     """Rows whose value is not one of ``allowed``; NULL passes, as in a CHECK constraint."""
     return df.where(~F.col(column).isin(list(allowed)))
+
+
+def reference_check(references: Sequence[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
+    """All foreign keys of a schema at once: (name, child, its column, parent, its key) gives one row each.
+
+    ``orphan_keys`` counts the values without a parent, ``orphan_rows`` the rows that carry them.
+    """
+    found = [
+        orphans(child, child_key, parent.select(parent_key).distinct(), parent_key).agg(
+            F.count(F.lit(1)).alias("orphan_keys"), F.coalesce(F.sum("row_count"), F.lit(0)).alias("orphan_rows")
+        ).select(F.lit(name).alias("reference"), "orphan_keys", "orphan_rows")
+        for name, child, child_key, parent, parent_key in references
+    ]
+    return reduce(DataFrame.unionByName, found)

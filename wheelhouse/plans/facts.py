@@ -174,3 +174,8 @@ def with_year(facts: DataFrame, dim_date: DataFrame, keep_undated: bool = True)
     """
     dated = lookup(facts, dim_date, on={"date_sk": "date_sk"}, take={"year": "year", "month": "month_nr"}, small=True)
     return dated if keep_undated else dated.where(F.col("year").isNotNull())
+
+
+def as_stored(facts: DataFrame) -> DataFrame:
+    """Ride facts as the fact table keeps them: the distance with two decimals, rounded from three."""
+    return facts.withColumn("ride_distance", F.col("ride_distance").cast("decimal(18,3)").cast("decimal(10,2)"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -83,3 +83,8 @@ def row_counts(spark: SparkSession, written: int, path: str) -> DataFrame:
     found = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("found"))
     expected = F.lit(written).cast("long")
     return found.select(expected.alias("expected"), "found", (F.col("found") == expected).alias("matches"))
+
+
+def write_all(tables: Mapping[str, DataFrame], folder: str) -> dict[str, int]:
+    """Every table in a folder of its own, and the number of rows written to each."""
+    return {name: write_counted(df, f"{folder}/{name}") for name, df in tables.items()}

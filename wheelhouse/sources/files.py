@@ -104,3 +104,8 @@ WEATHER_SCHEMA = T.StructType(
         T.StructField("dt", T.LongType()),
     ]
 )
+
+
+def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A Parquet dataset that may not be there yet; then it has no rows."""
+    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)

@@ -59,3 +59,34 @@ def history(log: DataFrame) -> DataFrame:
         F.count_if(F.col(OP) == "U").alias("updated"),
         F.count_if(F.col(OP) == "D").alias("deleted"),
     )
+
+
+def between(old: DataFrame, new: DataFrame, keys: Sequence[str], version: int, commit_ts: str) -> DataFrame:
+    """The log rows of whatever operation led from one state of a table to the next.
+
+    One full outer join on the keys; rows that are the same on both sides leave no log row.
+    """
+    rest = [c for c in new.columns if c not in keys]
+    before = old.select(*(F.col(k).alias(f"__o_{k}") for k in keys), F.struct(*rest).alias("__old"))
+    after = new.select(*keys, F.struct(*rest).alias("__new"))
+    same = [F.col(k) == F.col(f"__o_{k}") for k in keys]
+    op = F.when(F.col("__old").isNull(), "I").when(F.col("__new").isNull(), "D").when(
+        ~F.col("__old").eqNullSafe(F.col("__new")), "U"
+    )
+    row = F.coalesce("__new", "__old")
+    found = before.join(after, same, "full").withColumn("__op", op).where(F.col("__op").isNotNull())
+    moved = found.select(
+        *(F.coalesce(k, f"__o_{k}").alias(k) for k in keys), *(row[c].alias(c) for c in rest), "__op"
+    )
+    return changes(moved, version, commit_ts, F.col("__op")).drop("__op").select(*new.columns, *LOG_COLUMNS)
+
+
+def log_of(states: Sequence[tuple[DataFrame, str]], keys: Sequence[str]) -> DataFrame:
+    """The log of a table that was built up by operations: its states, each with the moment of its commit."""
+    before = states[0][0].limit(0)
+    log = None
+    for version, (state, commit_ts) in enumerate(states):
+        rows = between(before, state, keys, version, commit_ts)
+        log = rows if log is None else log.unionByName(rows)
+        before = state
+    return log
