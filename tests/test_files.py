@@ -233,10 +233,3 @@ def test_only_a_missing_path_is_not_there(spark, tmp_path):
     (tmp_path / "broken" / "x.parquet").write_text("no parquet")
     with pytest.raises(Exception):  # noqa: B017
         source.path_exists(spark, str(tmp_path / "broken"))
-
-
-def test_secret(monkeypatch):
-    monkeypatch.setenv("WHEELHOUSE_TEST_SECRET", "s")
-    assert session.secret("WHEELHOUSE_TEST_SECRET") == "s"
-    with pytest.raises(KeyError):
-        session.secret("WHEELHOUSE_NOT_SET")

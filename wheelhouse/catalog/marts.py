@@ -218,8 +218,9 @@ def fact_sales_asof(t: Tables) -> DataFrame:
 )
 def fact_sales_merge(t: Tables) -> DataFrame:
     """Facts without a hash keep their old revenue, as an unknown comparison changes nothing."""
-    old = facts.sales_facts(t.sales, t.calendar, t.dim_salesrep)
-    new = facts.sales_facts(t.late_sales, t.calendar, t.dim_salesrep)
+    reps = staged(t.dim_salesrep, "dim-salesrep")
+    old = facts.sales_facts(t.sales, t.calendar, reps)
+    new = staged(facts.sales_facts(t.late_sales, t.calendar, reps), "sales-increment")
     return facts.merge_sales_facts(old, new)
 
 
@@ -461,7 +462,8 @@ def rides_per_user_by_year(t: Tables) -> DataFrame:
     ),
 )
 def revenue_by_weekday(t: Tables) -> DataFrame:
-    return sales.revenue_by_weekday(facts.sales_facts(t.sales, t.calendar, t.dim_salesrep), t.calendar)
+    reps = staged(t.dim_salesrep, "dim-salesrep")
+    return sales.revenue_by_weekday(facts.sales_facts(t.sales, t.calendar, reps), t.calendar)
 
 
 @query(
@@ -473,7 +475,8 @@ def revenue_by_weekday(t: Tables) -> DataFrame:
     ),
 )
 def revenue_by_office(t: Tables) -> DataFrame:
-    return sales.revenue_by_office(facts.sales_facts(t.sales, t.calendar, t.dim_salesrep), t.dim_salesrep)
+    reps = staged(t.dim_salesrep, "dim-salesrep")
+    return sales.revenue_by_office(facts.sales_facts(t.sales, t.calendar, reps), reps)
 
 
 @query(

@@ -26,10 +26,10 @@ from wheelhouse.sources.files import read_csv
     ),
 )
 def join_inner_chain(t: Tables) -> DataFrame:
-    chain = t.rides.join(t.subscriptions, "subscription_id").join(t.users, "user_id")
-    return chain.groupBy("user_id", "city").agg(
-        F.count(F.lit(1)).alias("rides"), F.min("start_time").alias("first_start")
-    )
+    """Rides are counted per subscription before they are joined, so a hot one is one row per task by then."""
+    counted = t.rides.groupBy("subscription_id").agg(F.count(F.lit(1)).alias("rides"), F.min("start_time").alias("first_start"))
+    chain = counted.join(t.subscriptions, "subscription_id").join(t.users, "user_id")
+    return chain.groupBy("user_id", "city").agg(F.sum("rides").alias("rides"), F.min("first_start").alias("first_start"))
 
 
 @query(

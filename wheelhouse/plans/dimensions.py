@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wheelhouse.functions import dates, weather
 from wheelhouse.operators.keys import latest_per_key
 from wheelhouse.operators.layout import spread
-from wheelhouse.sources.files import WEATHER_SCHEMA, json_paths, parse_json
+from wheelhouse.sources.files import WEATHER_SCHEMA, parse_json
 from wheelhouse.sources.generated import date_sequence, inline_rows
 
 # Default spans and the member that stands for "no lock".
@@ -86,15 +86,12 @@ def weather_hourly(documents: DataFrame, text: str = "value", dedupe: bool = Tru
     Reports with the same time are ordered by their temperature and condition.  ``dedupe=False`` keeps
     every report, which repeats a ride for each report of its hour.
     """
-    reports = json_paths(
-        spread(documents.select(text)),
-        text,
-        {
-            "zipcode": ("$.zipCode", "string"),
-            "epoch": ("$.dt", "long"),
-            "condition": ("$.weather[0].main", "string"),
-            "kelvin": ("$.main.temp", "double"),
-        },
+    doc = parse_json(F.col(text), WEATHER_SCHEMA)
+    reports = spread(documents.select(text)).select(doc.alias("doc")).select(
+        F.col("doc.zipCode").alias("zipcode"),
+        F.col("doc.dt").alias("epoch"),
+        F.get(F.col("doc.weather"), F.lit(0))["main"].alias("condition"),
+        F.col("doc.main.temp").alias("kelvin"),
     ).withColumn("weather_hour", dates.hour_of(dates.from_epoch(F.col("epoch"), zone)))
     if dedupe:
         order = [F.col("epoch"), F.col("kelvin"), F.col("condition")]

@@ -189,11 +189,15 @@ def rides_per_user_by_year(rides: DataFrame, subscriptions: DataFrame) -> DataFr
 
     Counting per year and user first makes the distinct count a plain count of groups.
     """
-    timed = rides.where(_lasts()).select("subscription_id", F.year("start_time").alias("ride_year"))
+    counted = (
+        rides.where(_lasts())
+        .groupBy("subscription_id", F.year("start_time").alias("ride_year"))
+        .agg(F.count(F.lit(1)).alias("rides"))
+    )
     per_user = (
-        timed.join(subscriptions.select("subscription_id", "user_id"), "subscription_id")
+        counted.join(subscriptions.select("subscription_id", "user_id"), "subscription_id")
         .groupBy("ride_year", "user_id")
-        .agg(F.count(F.lit(1)).alias("rides"))
+        .agg(F.sum("rides").alias("rides"))
     )
     total, users = F.sum("rides"), F.count("user_id")
     return (

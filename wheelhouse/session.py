@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import SparkSession
@@ -56,11 +55,3 @@ def drop_scratch(spark: SparkSession) -> None:
     context = spark.sparkContext
     path = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/{context.applicationId}")
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-
-
-def secret(name: str) -> str:
-    """A credential from the environment; nothing is ever kept in source."""
-    value = os.environ.get(name)
-    if value is None:
-        raise KeyError(f"set the environment variable {name}")
-    return value
