@@ -108,4 +108,6 @@ WEATHER_SCHEMA = T.StructType(
 
 def read_optional(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A Parquet dataset that may not be there yet; then it has no rows."""
-    return spark.read.schema(schema).parquet(path) if path_exists(spark, path) else spark.createDataFrame([], schema)
+    if path_exists(spark, path):
+        return spark.read.schema(schema).parquet(path)
+    return spark.range(0).select(*(F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
