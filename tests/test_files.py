@@ -96,6 +96,11 @@ def test_dates(spark):
     assert tuple(map(str, span)) == ("2023-01-01", "2024-12-31", "731")
 
 
+def test_a_wild_date_makes_no_calendar(spark):
+    with pytest.raises(Exception, match="too many days"):
+        date_sequence(spark, "2020-01-01", "9999-12-31").count()
+
+
 def test_inline_rows(spark):
     df = inline_rows(spark, [(1, None), (2, "b")], "id int, name string")
     assert [tuple(r) for r in df.orderBy("id").collect()] == [(1, None), (2, "b")]

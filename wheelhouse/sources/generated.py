@@ -26,8 +26,14 @@ def dates_covering(df: DataFrame, column: str) -> DataFrame:
     )
 
 
+MOST_DAYS = 366 * 300  # of a calendar, which is broadcast to the facts
+
+
 def _days_between(ends: DataFrame) -> DataFrame:
-    days = F.sequence(F.col("origin"), F.col("until"), F.expr("interval 1 day"))
+    """All days of a span; a longer one than :data:`MOST_DAYS` is an error, as one wild date would make it."""
+    wild = F.raise_error(F.concat(F.lit("calendar: too many days up to "), F.col("until").cast("string"))).cast("date")
+    until = F.when(F.datediff("until", "origin") > MOST_DAYS, wild).otherwise(F.col("until").cast("date"))
+    days = F.sequence(F.col("origin").cast("date"), until, F.expr("interval 1 day"))
     return ends.select("origin", F.explode(days).alias("date"))
 
 
