@@ -21,7 +21,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the default policy keeps."""
-    return quality.quality_verdicts(docs).where("kept").select(*docs.columns)
+    return quality.kept_documents(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

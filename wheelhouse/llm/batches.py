@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 #: Bytes of a batch that Python looks at in one go; batches are cut to rows of about that much.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 def slices(batch: pa.RecordBatch, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
@@ -26,6 +27,14 @@ def texts_of(column: pa.Array) -> list[str]:
     return [value or "" for value in column.to_pylist()]
 
 
+def set_aside(df: DataFrame, taken: Iterable[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``df`` with columns of the taken names renamed, and what gives its own columns back, in their order."""
+    taken = set(taken)
+    names = {name: f"__own_{name}" if name in taken else name for name in df.columns}
+    renamed = df.select(*[F.col(f"`{name}`").alias(new) for name, new in names.items()])
+    return renamed, lambda out: out.select(*[F.col(f"`{new}`").alias(name) for name, new in names.items()])
+
+
 def with_batches(df: DataFrame, inputs: Sequence[str], outputs: str, prepare: Callable[[], Callable]) -> DataFrame:
     """``df`` with the columns of the schema string ``outputs``, which replace input columns of the same name.
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wheelhouse.llm.batches import texts_of, with_batches
+from wheelhouse.llm.batches import set_aside, texts_of, with_batches
 
 WINDOW = 10
 BLOCK_CHARS = 6_000_000
@@ -162,4 +162,5 @@ def find_items(docs: DataFrame, items: DataFrame, text: str = "text", key: str =
 
 def clean_documents(docs: DataFrame, items: DataFrame, text: str = "text") -> DataFrame:
     """The documents without any window of an item, columns as they came."""
-    return find_items(docs, items, text).where(F.col("n_hit") == 0).select(*[F.col(f"`{name}`") for name in docs.columns])
+    own, restore = set_aside(docs, ("n_words", "n_hit", "hit_words", "hit_items", "hit_spans"))
+    return restore(find_items(own, items, text).where(F.col("n_hit") == 0))

@@ -18,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wheelhouse.llm.batches import set_aside
+
 WORD = "[^\\x20\\x09-\\x0D]"
 WORD_GAP = "[\\x20\\x09-\\x0D]+"
 SYMBOLS = "#*$%&|<>"
@@ -184,3 +186,9 @@ def quality_verdicts(docs: DataFrame, policy: Policy = DEFAULT, text: str = "tex
     rows = ledger(docs, RULES, text)
     base = passes(BASE)
     return rows.withColumns({"base_failed": ~base, "kept": base & passes(policy)})
+
+
+def kept_documents(docs: DataFrame, policy: Policy = DEFAULT, text: str = "text") -> DataFrame:
+    """The documents that the policy and the base rules keep, columns as they came."""
+    own, restore = set_aside(docs, [*MEASURES, "failed_bits", "base_failed", "kept"])
+    return restore(quality_verdicts(own, policy, text).where("kept"))

@@ -81,8 +81,7 @@ def op7_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
-    ids = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path, pattern).drop("text")
-    return bpe.decode(ids, path).select(
+    return bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path, pattern, decoded=True).select(
         "doc_id",
         (F.octet_length("token_bytes") / 4).cast("long").alias("n_tokens"),
         F.sha2("token_bytes", 256).alias("ids_sha256"),

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wheelhouse.llm.batches import slices, texts_of, with_batches
+from wheelhouse.llm.batches import set_aside, slices, texts_of, with_batches
 
 KINDS = ("assign", "access", "hex", "random")
 LEAST = 16
@@ -238,9 +238,10 @@ def find_secrets(docs: DataFrame, text: str = "text", rate: float = RATE) -> Dat
 
 def without_secrets(docs: DataFrame, text: str = "text", chars: str = "n_chars") -> DataFrame:
     """All documents, columns as they came, with secrets replaced and the length column brought up to date."""
-    found = find_secrets(docs, text)
+    own, restore = set_aside(docs, ("secrets", "redacted"))
+    found = find_secrets(own, text)
     changed = F.size("secrets") > 0
     new = {text: F.col("redacted")}
     if chars in docs.columns:
         new[chars] = F.when(changed, F.length("redacted").cast(docs.schema[chars].dataType)).otherwise(F.col(chars))
-    return found.withColumns(new).select(*[F.col(f"`{name}`") for name in docs.columns])
+    return restore(found.withColumns(new))
