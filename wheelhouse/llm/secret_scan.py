@@ -1,7 +1,7 @@
 """Secrets in texts: known shapes, and strings that a battery of randomness tests takes for random.
 
 Known shapes are assignments to a secret's name, access keys and long hexadecimal strings.  Every other run of at least
-:data:`LEAST` key characters is a candidate.  Its encoding is inferred as the smallest alphabet that has all of its
+:data:`LEAST` key characters is a candidate, but for plain numbers.  Its encoding is inferred as the smallest alphabet that has all of its
 characters, and three tests ask whether it could be a uniform draw from that alphabet: chi-squared uniformity of the
 characters, number of runs above and below the middle, and serial correlation.  The smallest of the three p-values,
 times three, is the candidate's score: ordinary words have low scores, the lower the longer they are.
@@ -149,7 +149,7 @@ def candidates(text: str, known: list[tuple[int, int, int]]) -> Iterator[tuple[i
         start, end = match.span()
         while k < len(taken) and taken[k][1] <= start:
             k += 1
-        if k < len(taken) and taken[k][0] < end:
+        if k < len(taken) and taken[k][0] < end or match[0].isdigit():
             continue
         yield start, end, match[0], _WORD.fullmatch(match[0]) is not None
 
