@@ -1,5 +1,16 @@
-"""Operators for preparing training text, each by a method of its own; nothing outside this package imports it."""
+"""Operators for preparing training text, each by a method of its own; nothing outside this package imports it.
 
-from wheelhouse.llm.queries import ORACLES, QUERIES
+``QUERIES`` and ``ORACLES`` are loaded when they are asked for, so that tasks import only the operator they run.
+"""
+
+from __future__ import annotations
 
 __all__ = ["ORACLES", "QUERIES"]
+
+
+def __getattr__(name: str):
+    if name in __all__:
+        from wheelhouse.llm import queries
+
+        return getattr(queries, name)
+    raise AttributeError(name)

@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from wheelhouse.llm.shipping import ship
+
 #: Bytes of a batch that Python looks at in one go; batches are cut to rows of about that much.
 SLICE_BYTES = 3 << 20
 
@@ -57,5 +59,6 @@ def with_batches(df: DataFrame, inputs: Sequence[str], outputs: str, prepare: Ca
                 new = [value if isinstance(value, pa.Array) else pa.array(value, field.type) for value, field in zip(made, target)]
                 yield pa.RecordBatch.from_arrays([part.column(name) for name in kept_names] + new, names=schema.names)
 
+    ship(df.sparkSession)
     columns = list(dict.fromkeys(kept_names + names))
     return df.select(*[f"`{name}`" for name in columns]).mapInArrow(run, schema)

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from wheelhouse.llm.batches import texts_of, with_batches
 from wheelhouse.llm.components import components
 from wheelhouse.llm.scratch import written
+from wheelhouse.llm.shipping import ship
 
 TREES = 24
 BASE_DEPTH = 4
@@ -219,6 +220,7 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def candidates(nodes: DataFrame) -> DataFrame:
     """(a, b, n_trees) for nodes (``node``, ``sketch``): neighbours in at least one tree, and in how many."""
     spark = nodes.sparkSession
+    ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     keyed = nodes.select("node", "sketch").mapInArrow(_expand, "key binary, node long")
     ordered = keyed.repartitionByRange(parts, "key", "node").sortWithinPartitions("key", "node")

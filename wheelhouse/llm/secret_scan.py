@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wheelhouse.llm.batches import set_aside, slices, texts_of, with_batches
+from wheelhouse.llm.shipping import ship
 
 KINDS = ("assign", "access", "hex", "random")
 LEAST = 16
@@ -169,6 +170,7 @@ def histogram(docs: DataFrame, text: str = "text") -> DataFrame:
         types = [pa.int32(), pa.bool_(), pa.int32(), pa.int64()]
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["length_class", "decoy", "bin", "n"])
 
+    ship(docs.sparkSession)
     parts = docs.select(F.col(text).alias("text")).mapInArrow(count, "length_class int, decoy boolean, bin int, n long")
     return parts.groupBy("length_class", "decoy", "bin").agg(F.sum("n").alias("n"))
 

@@ -25,6 +25,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wheelhouse.llm.scratch import written
+from wheelhouse.llm.shipping import ship
 
 MAGIC = "WARC/1.0\r\n"
 GAP = "\r\n\r\n"
@@ -117,6 +118,7 @@ def _with_places(pieces: DataFrame) -> DataFrame:
                 at += size + len(MAGIC)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(local, pa.int64())], names=[*kept, "local"])
 
+    ship(pieces.sparkSession)
     return pieces.mapInArrow(run, pieces.withColumn("local", F.lit(0).cast("long")).schema)
 
 
