@@ -26,8 +26,8 @@ from wheelhouse.llm.batches import texts_of, with_batches
 
 NONE = np.int64(1) << 62
 SEGMENT = 1 << 21  # characters of a text that are looked at together
-KNOWN = 150_000  # remembered pieces and units; forgetting them changes no result
-TREE_CELLS = 1 << 21
+KNOWN = 250_000  # remembered pieces and units; forgetting them changes no result
+TREE_CELLS = 1 << 17
 RANK_BITS = 21  # of a token id; also what a pair key shifts by
 
 
@@ -236,7 +236,7 @@ class Encoder:
             for units in self._unit_lists(text):
                 waiting.append((i, units))
                 held += len(units)
-                if held > SEGMENT // 4:
+                if held > SEGMENT // 64:
                     flush()
         if waiting:
             flush()
@@ -244,8 +244,8 @@ class Encoder:
         return [parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else empty for parts in done]
 
 
-def decode_ids(tokens: Sequence[bytes], ids: np.ndarray) -> bytes:
-    return b"".join(map(tokens.__getitem__, ids.tolist()))
+def decode_ids(tokens: Sequence[bytes], token_bytes: bytes) -> bytes:
+    return b"".join(map(tokens.__getitem__, np.frombuffer(token_bytes, "<u4").tolist()))
 
 
 _encoders: dict[tuple, Encoder] = {}
@@ -260,19 +260,23 @@ def _encoder(tokens: list[bytes], pattern: str) -> Encoder:
     return _encoders[key]
 
 
-def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> DataFrame:
-    """``docs`` with ``token_bytes``: the ids as little-endian unsigned 32-bit integers."""
+def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` with ``token_bytes``: the ids as little-endian unsigned 32-bit integers.
+
+    With ``decoded`` the ids are decoded in the same pass, as :func:`decode` does in one of its own.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(read_ranks(path))  # a vocabulary file, under 1 MB
 
     def prepare():
         encoder = _encoder(shared.value, pattern)
 
         def work(column: pa.Array) -> list:
-            return [[ids.astype("<u4").tobytes() for ids in encoder.encode(texts_of(column))]]
+            ids = [each.astype("<u4").tobytes() for each in encoder.encode(texts_of(column))]
+            return [ids, [decode_ids(shared.value, value) for value in ids]] if decoded else [ids]
 
         return work
 
-    return with_batches(docs, [text], "token_bytes binary", prepare)
+    return with_batches(docs, [text], "token_bytes binary" + ", decoded binary" * decoded, prepare)
 
 
 def decode(rows: DataFrame, path: str, ids: str = "token_bytes") -> DataFrame:
@@ -283,7 +287,7 @@ def decode(rows: DataFrame, path: str, ids: str = "token_bytes") -> DataFrame:
         tokens = shared.value
 
         def work(column: pa.Array) -> list:
-            return [[decode_ids(tokens, np.frombuffer(value or b"", "<u4")) for value in column.to_pylist()]]
+            return [[decode_ids(tokens, value or b"") for value in column.to_pylist()]]
 
         return work
 
