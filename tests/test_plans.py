@@ -5,15 +5,15 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry_points
 from tests.compare import DATA
+from wheelhouse import catalog
 from wheelhouse.catalog.bindings import Tables
 from wheelhouse.catalog.marts import fact_rides
 from wheelhouse.operators import mutate
 from wheelhouse.plans import rides
 
 FOLDER = str(DATA / "sf0.001")
-QUERIES = entry_points.queries()
+QUERIES = catalog.QUERIES
 # Windows number the ranges of dense keys (bounded by the number of ranges, see the operator).
 WINDOWED = {"dense_surrogate_key"}
 FORBIDDEN = ["CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "Scan ExistingRDD"]
