@@ -11,6 +11,9 @@ before the ``|``, and reading takes one away.  In a role, backslashes and line f
 Null roles and texts count as empty.  Turns are ordered by turn number (null first), then role and text, so that equal
 numbers have a fixed order; repeated rows are turns of their own.  A null conv_id is a conversation like any other.
 An empty table gives no examples.  Only built-in column functions are used.
+
+A conversation is one row while it is expanded, and its examples together are as long as the method asks for: the sum
+of all its prefixes, each in a row of its own.
 """
 
 from __future__ import annotations

@@ -40,7 +40,6 @@ _HOLDERS = frozenset(
     "td th title tr ul span p".split()
 )
 _RAW = frozenset("script style template noscript textarea iframe object svg math canvas noembed noframes xmp".split())
-_VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _FURNITURE_TAGS = frozenset("aside button dialog footer form head header menu nav search select title".split())
 _ARTICLE_TAGS = frozenset(("article", "main"))
 _FURNITURE_WORDS = frozenset(
@@ -163,6 +162,7 @@ def _outside(holders: list[tuple[str, bool, bool]], tag: str) -> tuple[bool, boo
 
 
 def _with_neighbours(blocks: list[Block]) -> list[Block]:
+    """The blocks with their features, in the order of :data:`FEATURES`."""
     for i, block in enumerate(blocks):
         before = blocks[i - 1] if i else None
         after = blocks[i + 1] if i + 1 < len(blocks) else None

@@ -98,7 +98,7 @@ def exact_spans(text: str) -> list[tuple[int, int, int]]:
 
 @dataclass(frozen=True)
 class Segment:
-    """Tokens ``start`` to ``end`` of an island under a label, with the numbers of its features."""
+    """Tokens ``start`` to ``end`` of an island under a label, with the names of its features."""
 
     start: int
     end: int
@@ -188,11 +188,6 @@ def segments(text: str, low: int, high: int) -> tuple[list[tuple[int, int]], lis
     return tokens, out
 
 
-def _sum_exp(values: list[float]) -> float:
-    top = max(values)
-    return top + float(np.log(np.exp(np.array(values) - top).sum()))
-
-
 class Field:
     """A trained field: weights of features, and between the labels of neighbouring segments."""
 
