@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wheelhouse.llm import bpe, chat, decontamination, html_blocks, lsh_forest, pii, quality, secret_scan, toxicity, warc
+from wheelhouse.operators.layout import spread
 from wheelhouse.session import scratch_dir, tune
 from wheelhouse.sources.generated import inline_rows
 
@@ -26,7 +27,8 @@ def _query(name: str, sql: str | None = None):
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A table; one of fewer files than cores is shared out, as all of these queries work hard on each row."""
+    return spread(spark.read.parquet(f"{folder}/{name}.parquet"))
 
 
 QUALITY_SQL = r"""
