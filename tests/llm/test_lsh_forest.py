@@ -83,6 +83,38 @@ def test_large_group_is_divided_and_stays_one(spark):
     assert groups(spark, rows) == brute(rows)
 
 
+def test_star_of_copies_that_are_unlike_each_other(spark):
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(200)]
+    # Four changes far from each other: 183 or so of 197 shingles stay, J to the original about 0.85, among copies about 0.73.
+    rows = [(0, " ".join(words))]
+    for i in range(1, 1001):
+        copy = list(words)
+        for k in range(4):
+            copy[50 * k + rng.randrange(4, 46)] = f"w{i}x{k}"
+        rows.append((i, " ".join(copy)))
+    want = brute(rows)
+    assert len(set(want.values())) == 1
+    assert groups(spark, rows) == want
+
+
+@pytest.mark.parametrize("block", [500, 7])
+def test_rare_shingles_find_every_link(spark, monkeypatch, block):
+    monkeypatch.setattr(forest, "BLOCK_NODES", block)
+    rng = random.Random(9)
+    rows = [(0, "one"), (1, "one"), (2, "one two three four five"), (3, "one two three four five six")]
+    for _ in range(6):
+        words = [f"v{rng.randrange(300)}" for _ in range(rng.randint(10, 90))]
+        rows += [(len(rows) + i, _varied(rng, words, rng.randint(0, 4))) for i in range(20)]
+    sets = {doc: shingles(text, 4) for doc, text in rows}
+    want = {(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 80 * len(x | y)}
+    texts = spark.createDataFrame(rows, "node long, text string")
+    nodes = texts.selectExpr("node", "node as origin", "node as component")
+    got = {(r.a, r.b) for r in forest.rare_pairs(nodes, texts, 4, 80).collect()}
+    assert want <= got and len(got) < len(rows) ** 2 // 4
+    assert {(r.a, r.b) for r in forest.confirm(spark.createDataFrame(sorted(got), "a long, b long"), texts, 4, 80).collect()} == want
+
+
 def test_chain_of_links(spark):
     words = [f"c{i}" for i in range(400)]
     rows = [(1000 - i, " ".join(words[i * 4 : i * 4 + 80])) for i in range(60)]

@@ -10,8 +10,13 @@ Where ranges meet, the rows on both sides are looked at once more.
 Candidates are confirmed on the full sets.  First each node with its best candidate; then, of the other candidates,
 those whose ends are not yet connected.  Connected components give the groups.
 
-Two documents with a similarity of 0.8 share a region in none of the 24 trees with a probability of 3e-6; in regions
-that are divided, neighbours are missed more often in one tree, and rarely in all.  Shingles are compared by 64-bit hashes.
+Regions that were divided, or that reach over the end of a range, are then completed, as far as their nodes are not yet
+connected.  First the node that shares most regions with others, such as the original of many copies, is compared with
+all of its region, as long as that connects many.  What is left goes through an exact join: documents that are similar
+enough share one of their rarest shingles.  The nodes of a frequent shingle are compared block by block.
+
+Two documents with a similarity of 0.8 share a region in none of the 24 trees with a probability of 3e-6; those that
+share one are found.  Shingles are compared by 64-bit hashes.
 
 A null or empty text has no shingles and is linked with nothing.  Rows that share a doc_id are one document; a row
 without one is kept and belongs to no group.  Repeated rows are copies.  Columns named like the results are replaced.
@@ -41,6 +46,7 @@ SMALL = 12  # nodes of a region that are all compared with each other
 BASE_BYTES = 1 + 4 * BASE_DEPTH
 KEY_BYTES = BASE_BYTES + 2 * MORE_DEPTH
 HELD_ROWS = 50_000
+BLOCK_NODES = 500  # nodes of one frequent shingle that a row is joined with at a time
 HASHES = TREES * BASE_DEPTH
 _CHUNK = 1 << 14
 
@@ -157,6 +163,17 @@ def neighbours(keys: np.ndarray, nodes: np.ndarray, start: int, end: int) -> np.
     return np.unique(np.sort(nodes[np.array(out)], axis=1), axis=0)
 
 
+def _crowded(keys: np.ndarray, first: bool, last: bool) -> np.ndarray:
+    """Which rows of a sorted run stand in a region of more than SMALL rows, or in its first or last one if asked for."""
+    base = keys[:, :BASE_BYTES]
+    cuts = np.flatnonzero((base[1:] != base[:-1]).any(axis=1)) + 1
+    sizes = np.diff(np.concatenate([[0], cuts, [len(keys)]]))
+    wide = sizes > SMALL
+    wide[0] |= first
+    wide[-1] |= last
+    return np.repeat(wide, sizes)
+
+
 def _matrix(keys: Iterable[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(keys), np.uint8).reshape(-1, KEY_BYTES)
 
@@ -165,8 +182,12 @@ _FOREST = "a long, b long, part int, side int, key binary, node long"
 
 
 def _scan_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within one range of the order, and its first and last rows, to be joined with the next range's."""
+    """Pairs within one range of the order, and its first and last rows, to be joined with the next range's.
+
+    Rows without a pair and a part are the nodes of regions to be completed.
+    """
     part = TaskContext.get().partitionId()
+    first = True
     keys, nodes = np.empty((0, KEY_BYTES), np.uint8), np.empty(0, np.int64)
     head: list[tuple[bytes, int]] = []
     tail: list[tuple[bytes, int]] = []
@@ -179,6 +200,14 @@ def _scan_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["a", "b", "part", "side", "key", "node"],
         )
 
+    def crowded(end: int, last: bool) -> pa.RecordBatch:
+        rows = np.flatnonzero(_crowded(keys[:end], first, last))
+        none, number = pa.nulls(len(rows), pa.int64()), pa.nulls(len(rows), pa.int32())
+        regions = pa.array([keys[row, :BASE_BYTES].tobytes() for row in rows.tolist()], pa.binary())
+        return pa.RecordBatch.from_arrays(
+            [none, none, number, number, regions, pa.array(nodes[rows], pa.int64())], names=["a", "b", "part", "side", "key", "node"]
+        )
+
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -190,12 +219,17 @@ def _scan_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         open_from = len(keys) - int(same.sum())  # the last region may go on in the next batch
         if len(keys) - open_from > HELD_ROWS:
             yield made(neighbours(keys, nodes, 0, len(keys)))
+            yield crowded(len(keys), False)
+            first = False
             open_from = len(keys) - SMALL
         elif open_from:
             yield made(neighbours(keys, nodes, 0, open_from))
+            yield crowded(open_from, False)
+            first = False
         keys, nodes = keys[open_from:], nodes[open_from:]
     if len(keys):
         yield made(neighbours(keys, nodes, 0, len(keys)))
+        yield crowded(len(keys), True)
     rows = [(None, None, part, side, key, node) for side, edge in ((0, head), (1, tail)) for key, node in edge]
     if rows:
         types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
@@ -217,8 +251,9 @@ def _expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def candidates(nodes: DataFrame) -> DataFrame:
-    """(a, b, n_trees) for nodes (``node``, ``sketch``): neighbours in at least one tree, and in how many."""
+def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """For nodes (``node``, ``sketch``): (a, b, n_trees), neighbours in at least one tree, and in how many; and
+    (region, node) of the regions that may have more pairs than those."""
     spark = nodes.sparkSession
     ship(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -231,8 +266,10 @@ def candidates(nodes: DataFrame) -> DataFrame:
     place = spark.createDataFrame([(part, i) for i, part in enumerate(used)], "part int, place int")
     border = edges.join(F.broadcast(place), "part").select((F.col("place") - 1 + F.col("side")).alias("border"), "key", "node")
     met = border.groupBy("border").applyInPandas(_scan_border, "a long, b long")
-    pairs = scanned.where("part is null").select("a", "b").union(met).where("a < b")
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("n_trees"))
+    pairs = scanned.where("a is not null").select("a", "b").union(met).where("a < b")
+    crowded = scanned.where("a is null and part is null").select(F.col("key").alias("region"), "node").distinct()
+    several = crowded.groupBy("region").count().where("count > 1")
+    return pairs.groupBy("a", "b").agg(F.count("*").alias("n_trees")), crowded.join(several, "region", "left_semi")
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -263,15 +300,94 @@ def _best(pairs: DataFrame) -> DataFrame:
     return both.groupBy("n").agg(best).select("p.a", "p.b").distinct()
 
 
+def _unconnected(crowded: DataFrame, links: DataFrame) -> DataFrame:
+    """(region, node, origin, component) of the regions whose nodes the links do not connect."""
+    moved = components(links, "a_group", "b_group").toDF("origin", "component")
+    rows = written(crowded.join(moved, "origin", "left").select("region", "node", "origin", F.coalesce("component", "origin").alias("component")), "regions")
+    several = rows.groupBy("region").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return written(rows.join(several, "region", "left_semi"), "open")
+
+
+def _hub_pairs(rows: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pairs of every region's hub, the node that shares regions with most, and all others; (region, node) of the hubs."""
+    sizes = rows.groupBy("region").agg(F.count("*").alias("size"))
+    scores = rows.join(sizes, "region").groupBy("node").agg(F.sum("size").alias("score"))
+    new = rows.join(tried, ["region", "node"], "left_anti").join(scores, "node")
+    best = new.groupBy("region").agg(F.max_by(F.struct("node", "origin", "component"), F.struct("score", "node")).alias("hub"))
+    best = written(best, "hubs")
+    met = rows.join(best, "region").where("component != hub.component")
+    swapped = F.col("node") > F.col("hub.node")
+    one, other = F.struct("node", "origin"), F.struct("hub.node", "hub.origin")
+    ends = met.select(F.when(swapped, other).otherwise(one).alias("x"), F.when(swapped, one).otherwise(other).alias("y"))
+    pairs = ends.select(F.col("x.node").alias("a"), F.col("y.node").alias("b"), F.col("x.origin").alias("a_group"), F.col("y.origin").alias("b_group"))
+    return pairs.distinct(), best.select("region", "hub.node")
+
+
+def rare_pairs(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """(a, b, a_group, b_group) of all nodes (node, origin, component) that can be linked but are not connected.
+
+    Sets that are similar enough have a member in common among the first ``n - ceil(n * percent / 100) + 1`` of each, in
+    any order of all shingles; here from rare to frequent.
+    """
+
+    def prepare():
+        shingler = Shingler(size)
+
+        def work(column: pa.Array) -> list:
+            return [pa.array([shingler(body).view(np.int64) for body in texts_of(column)], pa.list_(pa.int64()))]
+
+        return work
+
+    own = nodes.join(texts.select("node", "text"), "node")
+    sets = written(with_batches(own, ["text"], "shingles array<bigint>", prepare).drop("text"), "shingles")
+    members = sets.select("node", F.explode("shingles").alias("shingle"))
+    often = members.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
+    shared = members.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("shared"))
+    n = F.size("shingles")
+    # Shingles of one node alone are the rarest; they take places but find nothing.
+    places = n - F.floor((n * percent + 99) / 100).cast("int") + 1 - (n - F.size("shared"))
+    heads = sets.join(shared, "node").where(places > 0).select("node", "origin", "component", n.alias("n"), F.explode(F.slice("shared", 1, places)).alias("s"))
+    blocks = F.ceil(F.col("s.times") / BLOCK_NODES)
+    heads = heads.select("node", "origin", "component", "n", F.col("s.shingle").alias("shingle"), blocks.alias("blocks"))
+    heads = written(heads.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")), "heads")
+    met = heads.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
+    left = met.toDF("a", "a_group", "a_component", "a_n", "shingle", "i", "j")
+    right = met.toDF("b", "b_group", "b_component", "b_n", "shingle", "j", "i")
+    near = (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
+    near &= 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    return left.join(right, ["shingle", "i", "j"]).where(near).select("a", "b", "a_group", "b_group").distinct()
+
+
+def completed(crowded: DataFrame, links: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """The links (a, b, a_group, b_group), with those that still connect nodes of one region (region, node, origin)."""
+
+    def more(pairs: DataFrame, purpose: str) -> DataFrame:
+        pairs = written(pairs, "met")
+        return written(links.unionByName(confirm(pairs, texts, size, percent).join(pairs, ["a", "b"])), purpose)
+
+    rows = _unconnected(crowded, links)
+    tried = rows.select("region", "node").limit(0)
+    count, before = rows.count(), 0
+    while count and (not before or 10 * count <= 9 * before):
+        pairs, hubs = _hub_pairs(rows, tried)
+        links, tried = more(pairs, "hub-links"), written(tried.unionByName(hubs), "tried")
+        rows = _unconnected(crowded, links)
+        count, before = rows.count(), count
+    if count:
+        links = more(rare_pairs(rows.select("node", "origin", "component").distinct(), texts, size, percent), "rare-links")
+    return links
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """(key, n_shingles, component_id, kept) for every row of ``docs``; shingles of ``size`` words."""
     own = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     signed = written(signatures(own, "text", size).drop("text"), "signatures")
     sets = signed.where("id is not null and n_shingles > 0").groupBy("set_key").agg(F.min("id").alias("node"), F.first("sketch").alias("sketch"))
     sets = written(sets, "sets")
-    pairs = written(candidates(sets), "pairs")
+    pairs, crowded = candidates(sets)
+    pairs, crowded = written(pairs, "pairs"), written(crowded, "crowded")
 
-    involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node")).distinct()
     # One shuffle of the texts at any size; rows with one id and text are then dropped where they are.
     texts = own.withColumnRenamed("id", "node").join(involved.hint("merge"), "node").withColumn("hash", F.xxhash64("text"))
     texts = written(texts.dropDuplicates(["node", "hash"]).drop("hash"), "texts")
@@ -285,10 +401,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     for end in ("a", "b"):
         rest = rest.join(groups.toDF(end, f"{end}_group"), end, "left")
     rest = written(rest.where(group_of("a") != group_of("b")).select("a", "b", group_of("a").alias("a_group"), group_of("b").alias("b_group")), "rest")
-    later = confirm(rest, texts, size, percent).join(rest, ["a", "b"])
-    merged = components(later, "a_group", "b_group").toDF("group", "merged")
+    later = written(confirm(rest, texts, size, percent).join(rest, ["a", "b"]), "later")
+    crowded = crowded.join(groups.toDF("node", "node_group"), "node", "left").select("region", "node", group_of("node").alias("origin"))
+    crowded = written(crowded, "origins")
+    links = completed(crowded, later, texts, size, percent)
+    merged = components(links, "a_group", "b_group").toDF("group", "merged")
 
-    labels = groups.toDF("node", "group").unionByName(rest.select(F.col("a").alias("node"), F.col("a_group").alias("group")).union(rest.select("b", "b_group")).distinct())
+    labels = groups.toDF("node", "group").unionByName(crowded.select("node", F.col("origin").alias("group"))).unionByName(rest.select(F.col("a").alias("node"), F.col("a_group").alias("group")).union(rest.select("b", "b_group")).distinct())
     labels = labels.distinct().join(merged, "group", "left").select("node", F.coalesce("merged", "group").alias("component"))
     labelled = sets.select("set_key", "node").join(labels, "node", "left").select("set_key", F.coalesce("component", "node").alias("component"))
     out = signed.drop("sketch").join(labelled, "set_key", "left")
