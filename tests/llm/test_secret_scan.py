@@ -50,6 +50,39 @@ def test_thresholds_follow_decoys():
     assert sec.thresholds([]) == [-1] * (sec.CLASSES + 1)
 
 
+def _flagged(texts):
+    counts = sec.Counter()
+    for text in texts:
+        for start, end, value, decoy in sec.candidates(text, sec.known_spans(text)):
+            counts[sec.length_class(end - start), decoy, sec.score_bin(value)] += 1
+    last = sec.thresholds([(*key, n) for key, n in counts.items()])
+    return [text[start:end] for text in texts for start, kind, end in sec.spans_of(text, last) if kind == 3]
+
+
+def test_one_key_is_found_whatever_the_number_of_words():
+    rng = random.Random(5)
+    word = lambda n: "".join(rng.choices("etaoinshrdlu", [12, 9, 8, 8, 7, 7, 6, 6, 6, 4, 4, 3], k=n))
+    few, many = [word(rng.randint(16, 20)) for _ in range(5)], [word(rng.randint(16, 24)) for _ in range(2000)]
+    for length in (32, 40, 64):
+        for words in ([], few, few + [word(length)] * 2, many, many + [word(length)] * 98):
+            least = 15 if len(words) < 10 else 50
+            found = 0
+            for _ in range(60):
+                key = "".join(rng.choices(sec._UPPER + sec._LOWER + sec._DIGITS, k=length))
+                got = _flagged([" ".join(words), f"use {key} here"])
+                assert set(got) <= {key}
+                found += bool(got)
+            assert found >= least, (length, len(words), found)
+
+
+def test_ordinary_strings_are_seldom_taken_for_random():
+    rng = random.Random(6)
+    parts = "the index of this report and other pages home user data list with name from main test about".split()
+    paths = ["/".join(rng.choices(parts, k=rng.randint(5, 9))) + str(rng.randint(1, 9)) for _ in range(2000)]
+    assert len(_flagged([" ".join(paths)])) <= 20
+    assert sum(bool(_flagged([path])) for path in paths[:500]) <= 10
+
+
 def test_tables(spark):
     rng = random.Random(3)
     words = ["Responsibilitiesofthe", "internationalisation", "characteristicsofsome", "misunderstandingsallof"] * 100

@@ -7,10 +7,13 @@ characters, number of runs above and below the middle, and serial correlation.
 times three, is the candidate's score: ordinary words have low scores, the lower the longer they are.
 
 Which score is high enough is decided by length.  Candidates that look like words (letters alone, in one case or with a
-capital) serve as decoys: the share of decoys of a length class that reach a score estimates the share of ordinary
-strings among the other candidates that do.  The threshold of a length class is the lowest score at which the estimated
-false-discovery rate is at most :data:`RATE`; a class without decoys uses the nearest shorter class with some.  The scores
-of the whole table are counted in bins, so that only a few hundred numbers reach the driver.
+capital) serve as decoys, with a fixed sample of long words beside those of the table: the share of decoys that reach a
+score estimates the share of ordinary strings among the other candidates that do.  As every further letter of a word is
+further evidence, this share is taken to fall by the same factor with each; the factor is fitted over the decoys of all
+lengths.  A length class takes the share of this trend, weighed against that of its own decoys, the more the fewer it
+has, so that classes with few or no decoys are judged too.  The threshold of a class is the lowest score at which
+the estimated false-discovery rate is at most :data:`RATE`.  The scores of the whole table are counted in bins, so that
+only a few hundred numbers reach the driver.
 
 A null or empty text has no spans.  Texts are read whole; positions are code points, ends exclusive.  Spans of one kind
 do not overlap; a random string that meets a known span is left out.  Repeated rows are judged each on their own but
@@ -23,6 +26,7 @@ import math
 import re
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,6 +40,7 @@ LEAST = 16
 RATE = 0.01
 BINS = 40  # of scores, ten to each power of ten
 CLASS_CHARS, CLASSES = 4, 16
+WEIGHT = 100  # decoys of its own at which a length class counts as much as the trend
 REPLACEMENT = "[secret]"
 
 _NAMES = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -59,6 +64,20 @@ ALPHABETS = (
     ("base64url", _UPPER + _LOWER + _DIGITS + "-_"),
     ("any", _UPPER + _LOWER + _DIGITS + "+/-_="),
 )
+# Decoys of every table.
+_LONG_WORDS = """
+internationalisation responsibilities characteristically misunderstandings telecommunications incomprehensible
+constitutionally industrialisation enthusiastically disproportionately institutionalised professionalisation
+straightforwardness interdisciplinary counterproductive environmentalists superconductivity unconstitutional
+uncharacteristically electromagnetism transcontinental autobiographical compartmentalise psychotherapeutic
+Geschwindigkeitsbegrenzung Wissenschaftlerinnen Verantwortungsbewusstsein Krankenversicherung Lebensmittelvergiftung
+Wettervorhersage Bundesverfassungsgericht Entscheidungsfreiheit Aufenthaltsgenehmigung Sehenswuerdigkeiten
+Arbeitslosenversicherung Unabhaengigkeitserklaerung Haftpflichtversicherung Rechtsschutzversicherung
+anticonstitutionnellement gouvernementalisation incomprehensibilite professionnellement particularisation
+extraordinairement institutionnalisation approvisionnements chronologiquement intergouvernemental
+electroencefalografista internacionalizacion responsabilidades desafortunadamente contrarrevolucionario
+caracteristicamente institucionalizado extraordinariamente constitucionalidad independientemente
+""".split()
 _PLACES = [{c: i for i, c in enumerate(chars)} for _, chars in ALPHABETS]
 
 
@@ -175,24 +194,49 @@ def histogram(docs: DataFrame, text: str = "text") -> DataFrame:
     return parts.groupBy("length_class", "decoy", "bin").agg(F.sum("n").alias("n"))
 
 
+@cache
+def _sample() -> Counter:
+    """(length class, bin) of the fixed decoys, counted."""
+    return Counter((length_class(len(word)), score_bin(word)) for word in _LONG_WORDS)
+
+
+def _decay(passed: int, sizes: list[int]) -> float:
+    """The rate g at which decoys of all length classes, each passing with exp(-g * length), pass in the number seen."""
+    lengths = [LEAST + CLASS_CHARS * (c + 1) - 1 for c in range(len(sizes))]  # the longest of a class: decays too slowly, if anything
+    low, high = 0.0, 10.0
+    for _ in range(60):
+        middle = (low + high) / 2
+        expected = sum(n * math.exp(-middle * length) for n, length in zip(sizes, lengths))
+        low, high = (middle, high) if expected > passed else (low, middle)
+    return low
+
+
+def shares(decoys: Counter) -> list[list[float]]:
+    """For every length class, the estimated share of ordinary strings that reach each bin."""
+    sizes = [sum(decoys[c, b] for b in range(BINS + 1)) for c in range(CLASSES + 1)]
+    first = next((c for c, n in enumerate(sizes) if n), 0)
+    passed, out = [0] * (CLASSES + 1), [[] for _ in sizes]
+    for b in range(BINS + 1):
+        passed = [n + decoys[c, b] for c, n in enumerate(passed)]
+        # One decoy more that passes, as otherwise no share would be estimated where none does.
+        decay = _decay(sum(passed) + 1, [n + (c == first) for c, n in enumerate(sizes)])
+        for c, n in enumerate(passed):
+            out[c].append((n + WEIGHT * math.exp(-decay * (LEAST + CLASS_CHARS * c))) / (sizes[c] + WEIGHT))
+    return out
+
+
 def thresholds(counts: list[tuple[int, bool, int, int]], rate: float = RATE) -> list[int]:
     """For every length class the last bin that is taken for random, -1 for none."""
-    n: Counter = Counter()
+    decoys, others = Counter(_sample()), Counter()
     for length, decoy, number, times in counts:
-        n[length, bool(decoy), number] += times
-    last, shares = [], [1.0] * (BINS + 1)
-    for length in range(CLASSES + 1):
-        decoys = [n[length, True, b] for b in range(BINS + 1)]
-        if sum(decoys):
-            passed, shares = 0, []
-            for b in range(BINS + 1):
-                passed += decoys[b]
-                shares.append((passed + 1) / (sum(decoys) + 1))
-        total = sum(n[length, False, b] for b in range(BINS + 1))
+        (decoys if decoy else others)[length, number] += times
+    last = []
+    for length, share in enumerate(shares(decoys)):
+        total = sum(others[length, b] for b in range(BINS + 1))
         passed, best = 0, -1
         for b in range(BINS):
-            passed += n[length, False, b]
-            if passed and shares[b] * total <= rate * passed:
+            passed += others[length, b]
+            if passed and share[b] * total <= rate * passed:
                 best = b
         last.append(best)
     return last
