@@ -87,3 +87,17 @@ def test_long_chain_and_extra_columns(spark):
 
 def test_empty_table(spark):
     assert archived(spark, [], 1) == []
+
+
+@pytest.mark.parametrize("span", [1 << 20, 64])
+def test_payloads_are_joined_without_a_window_over_the_file(spark, plan, monkeypatch, span):
+    monkeypatch.setattr(warc, "SPAN_BYTES", span)
+    pages = [(i, f"http://h/{i}", f"<p>{i}</p>" + (FAKE * (1 + i % 3) + "x" * 300 if i % 2 else "")) for i in range(12)]
+    path = scratch_dir(spark, "warc-spans")
+    warc.write_archive(spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1), path)
+    found = warc.written(warc.record_candidates(spark, path), "candidates")
+    broken = found.where("page_id <> 999 and not whole and length is not null")
+    joined = warc._joined_payloads(spark, path, found, broken)
+    assert "Window" not in plan(joined)
+    assert sorted(bytes(r.payload).decode() for r in joined.collect()) == sorted(html for i, _, html in pages if i % 2)
+    assert sorted((tuple(r) for r in warc.read_archive(spark, path).collect()), key=str) == expected(pages)

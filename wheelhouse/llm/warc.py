@@ -29,6 +29,7 @@ from wheelhouse.llm.shipping import ship
 
 MAGIC = "WARC/1.0\r\n"
 GAP = "\r\n\r\n"
+SPAN_BYTES = 1 << 20  # of a file, in which pieces and the records they belong to are brought together
 LEAST_REVISIT = 1000
 BROADCAST_ROWS = 100_000  # of 60 bytes: repeated digests that are sent to all tasks; more are joined by a shuffle
 SALTS = 16
@@ -185,11 +186,15 @@ def reachable(links: DataFrame) -> DataFrame:
 
 def _joined_payloads(spark: SparkSession, path: str, found: DataFrame, broken: DataFrame) -> DataFrame:
     """(file, start, payload) of the records whose payload holds the magic."""
-    order = W.partitionBy("file").orderBy("start")
-    owned = found.join(broken.select("file", F.col("start"), F.col("next").alias("until")), ["file", "start"], "left")
-    owner = F.when(F.col("until").isNotNull(), F.struct(F.col("start").alias("owner"), F.col("until").alias("until")))
-    owned = owned.withColumn("o", F.last(owner, True).over(order))
-    wanted = owned.where(F.col("start") < F.col("o.until")).select(*_FILE, "local", "start", F.col("o.owner").alias("owner"))
+    def span(offset: str) -> Column:
+        return F.floor(F.col(offset) / SPAN_BYTES)
+
+    # Records do not overlap, so that a piece stands in one at most; both meet in the spans of the file they touch.
+    owners = broken.select("file", F.col("start").alias("owner"), F.col("next").alias("until"))
+    owners = owners.withColumn("span", F.explode(F.sequence(span("owner"), span("until"))))
+    owned = found.withColumn("span", span("start")).join(owners, ["file", "span"])
+    inside = (F.col("start") >= F.col("owner")) & (F.col("start") < F.col("until"))
+    wanted = owned.where(inside).select(*_FILE, "local", "start", "owner")
     pieces = _with_places(_pieces(spark, path).select(*_FILE, F.col("piece").cast("binary").alias("piece"), F.octet_length("piece").cast("long").alias("bytes")))
     parts = pieces.join(wanted, [*_FILE, "local"]).select("file", "owner", "start", F.concat(F.encode(F.lit(MAGIC), "UTF-8"), "piece").alias("piece"))
     whole = parts.groupBy("file", F.col("owner").alias("start")).agg(
