@@ -10,7 +10,7 @@ __all__ = ["ORACLES", "QUERIES"]
 
 def __getattr__(name: str):
     if name in __all__:
-        from wheelhouse.llm import queries
+        from wheelhouse.llm import queries, registry, vector_queries  # noqa: F401  both register their queries
 
-        return getattr(queries, name)
+        return getattr(registry, name)
     raise AttributeError(name)
