@@ -229,11 +229,13 @@ def test_merge_reads_the_target_once(spark, plan, tmp_path):
     for name in ("target", "source"):
         spark.range(50).select(F.col("id").alias("k"), F.col("id").alias("v")).write.parquet(str(tmp_path / name))
     target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # paths are cut short otherwise
     for limit in ("10m", "-1"):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
         text = plan(mutate.merge(target, source, ["k"], update="all"))
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         assert text.count("/target]") == 1 and text.count("/source]") == 2
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_snapshot_guards(spark, dimension):

@@ -14,8 +14,9 @@ from wheelhouse.plans import rides
 
 FOLDER = str(DATA / "sf0.001")
 QUERIES = catalog.QUERIES
-# Windows number the ranges of dense keys (bounded by the number of ranges, see the operator).
-WINDOWED = {"dense_surrogate_key"}
+# Windows number the ranges of dense keys (bounded by the number of ranges, see the operator), and order facts and
+# versions within a slice of a key's time.
+WINDOWED = {"dense_surrogate_key", "join_asof_long_histories", "join_asof_hot_key"}
 FORBIDDEN = ["CartesianProduct", "NestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroups", "Scan ExistingRDD"]
 
 
@@ -26,6 +27,25 @@ def no_broadcast(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("name", ["join_self_role", "join_left_default_member", "join_on_derived_keys", "join_fact_dims_inner", "distance_with_fallback"])
+def test_measured_dimensions_move_no_fact(spark, plan, no_broadcast, name):
+    """Dimensions that are joins themselves are measured, so that the rides pass through without a shuffle."""
+    spine = [line for line in plan(QUERIES[name](spark, FOLDER)).splitlines() if "SortMergeJoin" in line and re.match(r"^[ :]{0,9}\+- ", line)]
+    assert spine == []
+
+
+def test_only_small_scans_are_shared_out(spark):
+    from wheelhouse.operators.layout import spread
+
+    documents = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    assert spread(documents).rdd.getNumPartitions() == 8
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        assert "RoundRobin" not in spread(documents)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - {n for n in QUERIES if n.startswith(("stream_", "write_"))}))
 def test_nothing_unscalable(spark, plan, name):
     text = plan(QUERIES[name](spark, FOLDER))

@@ -361,11 +361,12 @@ def haversine_km(t: Tables) -> DataFrame:
     ),
 )
 def distance_with_fallback(t: Tables) -> DataFrame:
-    from wheelhouse.operators.joins import lookup
+    from wheelhouse.operators.joins import lookup, sized
 
     rides = t.order_rides
+    (places,) = sized(t.lock_places)
     for side in ("start", "end"):
-        rides = lookup(rides, t.lock_places, {f"{side}_lock_id": "lock_id"}, {f"{side}_slat": "lat", f"{side}_slon": "lon"})
+        rides = lookup(rides, places, {f"{side}_lock_id": "lock_id"}, {f"{side}_slat": "lat", f"{side}_slon": "lon"})
     stations = [F.col(c) for c in ("start_slat", "start_slon", "end_slat", "end_slon")]
     km = geo.first_known_distance_km(tuple(_ride_points()), tuple(stations))
     return rides.select("ride_id", F.round(km, 3).alias("km"))

@@ -13,6 +13,7 @@ from wheelhouse.catalog.registry import query
 from wheelhouse.functions import weather
 from wheelhouse.operators import limits
 from wheelhouse.operators.joins import sized
+from wheelhouse.operators.layout import spread
 from wheelhouse.plans import dimensions, facts, graph, rides, sales, words
 from wheelhouse.session import scratch_dir
 from wheelhouse.sinks.files import staged, write_all, write_parquet
@@ -485,7 +486,7 @@ def revenue_by_office(t: Tables) -> DataFrame:
         WHERE word <> '' GROUP BY word ORDER BY amount DESC, word LIMIT 20""",
 )
 def top_words(t: Tables) -> DataFrame:
-    return words.top_words(t.documents, "text")
+    return words.top_words(spread(t.documents.select("text")), "text")
 
 
 @query(
@@ -494,7 +495,7 @@ def top_words(t: Tables) -> DataFrame:
         WHERE word <> '' GROUP BY word""",
 )
 def word_counts(t: Tables) -> DataFrame:
-    return words.word_counts(t.documents, "text")
+    return words.word_counts(spread(t.documents.select("text")), "text")
 
 
 @query(
@@ -503,7 +504,7 @@ def word_counts(t: Tables) -> DataFrame:
         FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) WHERE word <> '' GROUP BY letter""",
 )
 def letter_counts(t: Tables) -> DataFrame:
-    return words.letter_counts(words.word_counts(t.documents, "text"))
+    return words.letter_counts(words.word_counts(spread(t.documents.select("text")), "text"))
 
 
 @query(

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wheelhouse.catalog.bindings import Tables, with_tables
 from wheelhouse.catalog.registry import query
 from wheelhouse.functions import dates, weather
-from wheelhouse.operators import joins, keys, limits, quality
+from wheelhouse.operators import hot_keys, joins, keys, limits, ordered, quality
+from wheelhouse.operators.layout import spread
 from wheelhouse.plans import dimensions, facts, rides, sales, words
 from wheelhouse.session import scratch_dir
+from wheelhouse.sinks.files import staged
 from wheelhouse.sources.files import read_csv
 
 # --- joins ---------------------------------------------------------------------------------------
@@ -56,7 +58,7 @@ def join_using(t: Tables) -> DataFrame:
     ),
 )
 def join_self_role(t: Tables) -> DataFrame:
-    placed = t.locks.join(t.stations, "station_id")
+    (placed,) = joins.sized(t.locks.join(t.stations, "station_id"))
     a, b = placed.alias("a"), placed.alias("b")
     joined = t.order_rides.join(a, F.col("start_lock_id") == F.col("a.lock_id")).join(
         b, F.col("end_lock_id") == F.col("b.lock_id")
@@ -91,7 +93,8 @@ def join_left_lookup(t: Tables) -> DataFrame:
     ),
 )
 def join_left_default_member(t: Tables) -> DataFrame:
-    found = joins.lookup(t.order_rides, t.dim_lock, {"end_lock_id": "lock_id"}, {"end_lock_sk": "lock_id"}, default=-1)
+    (dim_lock,) = joins.sized(t.dim_lock.select("lock_id"))
+    found = joins.lookup(t.order_rides, dim_lock, {"end_lock_id": "lock_id"}, {"end_lock_sk": "lock_id"}, default=-1)
     return found.select("ride_id", "end_lock_sk")
 
 
@@ -123,35 +126,67 @@ def join_asof_validity(t: Tables) -> DataFrame:
     return found.select("order_id", "salesrep_id", "order_date", "salesrep_sk", "office")
 
 
-@query(
-    "join_asof_long_histories",
-    """WITH months AS (SELECT o_custkey AS customer, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS starts,
+LONG_HISTORIES = """WITH months AS (SELECT o_custkey AS customer, CAST(date_trunc('month', o_orderdate) AS TIMESTAMP) AS starts,
             round(sum(o_totalprice), 2) AS spent FROM orders GROUP BY 1, 2),
-        visits AS (SELECT event_id, user_id, TIMESTAMP '1995-01-01 12:00:00' + to_days(CAST(event_id % 2400 AS INT)) AS seen_at
+        visits AS (SELECT event_id, {who} AS user_id, TIMESTAMP '1995-01-01 12:00:00' + to_days(CAST(event_id % 2400 AS INT)) AS seen_at
                    FROM events)
         SELECT event_id, user_id, seen_at, spent FROM visits
-        LEFT JOIN months ON customer = user_id AND seen_at > starts AND seen_at <= starts + INTERVAL 1 MONTH""",
-)
-def join_asof_long_histories(t: Tables) -> DataFrame:
-    """The same lookup into monthly versions, with histories cut into slices of about four versions."""
+        LEFT JOIN months ON customer = user_id AND seen_at > starts AND seen_at <= starts + INTERVAL 1 MONTH"""
+
+
+def _months(t: Tables) -> DataFrame:
+    """What every customer spent, as monthly versions."""
     month = F.trunc("o_orderdate", "month")
     months = t.orders.groupBy(F.col("o_custkey").alias("customer"), month.alias("month")).agg(
         F.round(F.sum("o_totalprice"), 2).alias("spent")
     )
-    versions = months.select(
+    return months.select(
         "customer",
         "spent",
         F.col("month").cast("timestamp_ntz").alias("starts"),
         F.add_months("month", 1).cast("timestamp_ntz").alias("ends"),
     )
+
+
+def _visits(t: Tables, who: Column) -> DataFrame:
     day = F.make_dt_interval((F.col("event_id") % 2400).cast("int"))
     noon = F.lit("1995-01-01 12:00:00").cast("timestamp_ntz")
-    visits = t.events.select("event_id", "user_id", (noon + day).alias("seen_at"))
-    return joins.valid_at(
-        visits, versions, "user_id", "customer", "seen_at", "starts", "ends", {"spent": "spent"}, max_versions=4
+    return t.events.select("event_id", who.alias("user_id"), (noon + day).alias("seen_at"))
+
+
+@query("join_asof_long_histories", LONG_HISTORIES.format(who="user_id"))
+def join_asof_long_histories(t: Tables) -> DataFrame:
+    """The same lookup into monthly versions, in one ordered pass over both."""
+    return ordered.asof_ordered(
+        _visits(t, F.col("user_id")), _months(t), "user_id", "customer", "seen_at", "starts", "ends", {"spent": "spent"}
     )
 
 
+SKEWED_WHO = "CASE WHEN event_id % 5 < 2 THEN 1 WHEN event_id % 5 = 2 THEN NULL ELSE user_id END"
+
+
+@query("join_asof_hot_key", LONG_HISTORIES.format(who=SKEWED_WHO))
+def join_asof_hot_key(t: Tables) -> DataFrame:
+    """Two facts in five belong to one customer and one in five to nobody: that customer's time is cut into slices."""
+    visits = _visits(t, F.expr(SKEWED_WHO))
+    take = {"spent": "spent"}
+    return ordered.asof_ordered(visits, _months(t), "user_id", "customer", "seen_at", "starts", "ends", take, min_rows=100)
+
+
+@query(
+    "join_left_hot_keys",
+    """SELECT l_orderkey, l_linenumber, who AS o_orderkey, o_orderpriority FROM (
+        SELECT l_orderkey, l_linenumber, CASE WHEN l_partkey % 5 < 2 THEN 1 WHEN l_partkey % 5 = 2 THEN NULL ELSE l_orderkey END AS who
+        FROM lineitem) LEFT JOIN orders ON o_orderkey = who""",
+)
+def join_left_hot_keys(t: Tables) -> DataFrame:
+    """A lookup in which two facts in five share one key and one in five has none; the dimension is not broadcast."""
+    who = F.expr("CASE WHEN l_partkey % 5 < 2 THEN 1 WHEN l_partkey % 5 = 2 THEN NULL ELSE l_orderkey END")
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", who.alias("who"))
+    found = hot_keys.lookup_hot(rows, t.orders, {"who": "o_orderkey"}, {"o_orderpriority": "o_orderpriority"})
+    return found.withColumnRenamed("who", "o_orderkey")
+
+
 @query(
     "join_on_derived_keys",
     with_tables(
@@ -162,12 +197,12 @@ def join_asof_long_histories(t: Tables) -> DataFrame:
     ),
 )
 def join_on_derived_keys(t: Tables) -> DataFrame:
-    placed = joins.lookup(t.order_rides, t.lock_places, {"start_lock_id": "lock_id"}, {"zipcode": "zipcode"}).select(
+    places, reports = joins.sized(t.lock_places, staged(dimensions.weather_hourly(t.weather_documents), "weather"))
+    placed = joins.lookup(t.order_rides, places, {"start_lock_id": "lock_id"}, {"zipcode": "zipcode"}).select(
         "ride_id",
         F.coalesce("zipcode", F.lit(facts.NO_POSTAL_CODE)).alias("zipcode"),
         dates.hour_of(F.col("start_time")).alias("hour"),
     )
-    reports = dimensions.weather_hourly(t.weather_documents)
     typed = joins.lookup(
         placed, reports, {"zipcode": "zipcode", "hour": "weather_hour"}, {"type": "weather_type"}, default=weather.UNKNOWN
     )
@@ -212,7 +247,8 @@ def join_antijoin_new_rows(t: Tables) -> DataFrame:
 )
 def join_fact_dims_inner(t: Tables) -> DataFrame:
     dated = t.order_rides.withColumn("date", F.to_date("start_time")).join(F.broadcast(t.dim_date), "date")
-    return dated.join(t.dim_lock, F.col("end_lock_id") == F.col("lock_id")).select("ride_id", "year", "district")
+    (dim_lock,) = joins.sized(t.dim_lock.select("lock_id", "district"))
+    return dated.join(dim_lock, F.col("end_lock_id") == F.col("lock_id")).select("ride_id", "year", "district")
 
 
 # --- aggregations --------------------------------------------------------------------------------
@@ -335,7 +371,7 @@ WORDS_SQL = """SELECT word, count(*) AS amount FROM (SELECT unnest(string_split(
 
 @query("agg_reduce_by_key", WORDS_SQL)
 def agg_reduce_by_key(t: Tables) -> DataFrame:
-    return words.word_counts(t.documents, "text")
+    return words.word_counts(spread(t.documents.select("text")), "text")
 
 
 @query(
@@ -343,7 +379,7 @@ def agg_reduce_by_key(t: Tables) -> DataFrame:
     f"SELECT substr(word, 1, 1) AS letter, CAST(sum(amount) AS BIGINT) AS amount FROM ({WORDS_SQL}) GROUP BY letter",
 )
 def agg_rollup_counts(t: Tables) -> DataFrame:
-    return words.letter_counts(words.word_counts(t.documents, "text"))
+    return words.letter_counts(words.word_counts(spread(t.documents.select("text")), "text"))
 
 
 @query(
@@ -403,10 +439,10 @@ def topk(t: Tables) -> DataFrame:
 
 @query(
     "limit_cap",
-    with_tables("order_rides", "SELECT ride_id, start_time FROM order_rides ORDER BY ride_id LIMIT 15000"),
+    with_tables("order_rides", "SELECT ride_id, start_time FROM order_rides ORDER BY ride_id LIMIT 1000"),
 )
 def limit_cap(t: Tables) -> DataFrame:
-    return limits.first_rows(t.order_rides.select("ride_id", "start_time"), ["ride_id"], 15_000)
+    return limits.first_rows(t.order_rides.select("ride_id", "start_time"), ["ride_id"], 1000)
 
 
 @query("keyset_batches", with_tables("order_rides", "SELECT ride_id, start_time FROM order_rides"))
