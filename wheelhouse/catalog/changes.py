@@ -10,6 +10,8 @@ from wheelhouse.catalog.registry import query
 from wheelhouse.functions import geo, hashing
 from wheelhouse.operators import mutate, scd2
 from wheelhouse.operators.mutate import incoming
+from wheelhouse.operators.partitioned import PartitionedTable
+from wheelhouse.session import scratch_dir
 from wheelhouse.sources import versioned
 
 # --- DML -----------------------------------------------------------------------------------------
@@ -86,6 +88,63 @@ def merge_partial_insert(t: Tables) -> DataFrame:
     return scd2.apply_merge(dimension, upserts, REP_SPEC)
 
 
+# The same changes on a stored table with a folder for each year; the folders that do not change stay as they are.
+
+YEARLY = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority, CAST(year(o_orderdate) AS INT) AS o_year FROM orders"
+
+
+def _yearly(t: Tables) -> PartitionedTable:
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", F.year("o_orderdate").alias("o_year"))
+    table = PartitionedTable(t.spark, scratch_dir(t.spark, "orders-by-year"), ["o_year"], rows.schema)
+    table.write(rows)
+    return table
+
+
+@query(
+    "update_where_partitions",
+    f"""SELECT o_orderkey, o_custkey, CASE WHEN o_year = 1996 AND o_custkey < 40 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+        o_orderpriority, CAST(CASE WHEN o_year = 1996 AND o_custkey < 40 THEN 1997 ELSE o_year END AS INT) AS o_year FROM ({YEARLY})""",
+)
+def update_where_partitions(t: Tables) -> DataFrame:
+    """Some orders of one year get another price and move to the next year."""
+    table = _yearly(t)
+    condition = (F.col("o_year") == 1996) & (F.col("o_custkey") < 40)
+    table.update_where(condition, {"o_totalprice": F.col("o_totalprice") + 1, "o_year": F.lit(1997)})
+    return table.read()
+
+
+@query(
+    "delete_where_partitions",
+    f"""SELECT * FROM ({YEARLY}) WHERE (o_year = 1995 OR (o_year = 1998 AND o_orderpriority = '5-LOW')) IS NOT TRUE""",
+)
+def delete_where_partitions(t: Tables) -> DataFrame:
+    """A whole year goes, and some orders of another one."""
+    table = _yearly(t)
+    table.delete_where((F.col("o_year") == 1995) | ((F.col("o_year") == 1998) & (F.col("o_orderpriority") == "5-LOW")))
+    return table.read()
+
+
+@query(
+    "merge_partitions",
+    f"""WITH old AS ({YEARLY}), new AS (
+            SELECT o_orderkey, o_custkey, o_totalprice * 2 AS o_totalprice, o_orderpriority, o_year FROM old WHERE o_year = 1997 AND o_custkey < 60
+            UNION ALL SELECT o_orderkey + 1000000000, o_custkey, 0.0::DOUBLE, 'new', CAST(2001 AS INT) FROM old WHERE o_year = 1996 AND o_custkey < 60)
+        SELECT o.o_orderkey, o.o_custkey, coalesce(n.o_totalprice, o.o_totalprice) AS o_totalprice, o.o_orderpriority, o.o_year
+        FROM old o LEFT JOIN new n USING (o_orderkey)
+        UNION ALL SELECT * FROM new WHERE o_year = 2001""",
+)
+def merge_partitions(t: Tables) -> DataFrame:
+    """Orders of one year are changed, and a year that was not there is added."""
+    table = _yearly(t)
+    few = F.col("o_custkey") < 60
+    changed = table.read().where((F.col("o_year") == 1997) & few).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    added = table.read().where((F.col("o_year") == 1996) & few).select(
+        (F.col("o_orderkey") + 1_000_000_000).alias("o_orderkey"), "o_custkey", F.lit(0.0).alias("o_totalprice"), F.lit("new").alias("o_orderpriority"), F.lit(2001).alias("o_year")
+    )
+    table.merge(changed.unionByName(added), ["o_orderkey"], update={"o_totalprice": incoming("o_totalprice")})
+    return table.read()
+
+
 # Four commits: load all orders, correct the finished ones, delete the low-priority ones, bring the
 # low-priority open ones back.
 LOG_SQL = """log AS (
