@@ -199,6 +199,25 @@ def scan_versioned(t: Tables) -> DataFrame:
     return versioned.state_at(order_log(t), ["o_orderkey"], timestamp="2024-01-02 12:00:00")
 
 
+def _stored_log(t: Tables) -> str:
+    """The four commits appended one by one, with a snapshot after every second one."""
+    path, log = scratch_dir(t.spark, "order-log"), order_log(t)
+    for version in range(4):
+        versioned.append_commit(log.where(F.col("_version") == version), path, ["o_orderkey"], version, every=2)
+    return path
+
+
+@query("as_of_version_snapshot", STATE_SQL.format(until="version <= 2"))
+def as_of_version_snapshot(t: Tables) -> DataFrame:
+    """The same state from the snapshot at version 1 and the changes of version 2."""
+    return versioned.read_at(t.spark, _stored_log(t), ["o_orderkey"], version=2)
+
+
+@query("scan_versioned_snapshot", STATE_SQL.format(until="commit_ts <= TIMESTAMP '2024-01-03 12:00:00'"))
+def scan_versioned_snapshot(t: Tables) -> DataFrame:
+    return versioned.read_at(t.spark, _stored_log(t), ["o_orderkey"], timestamp="2024-01-03 12:00:00")
+
+
 @query(
     "update_from_join",
     with_tables(
