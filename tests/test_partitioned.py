@@ -88,7 +88,7 @@ def test_nothing_to_do(spark, table):
 
 
 def test_changes_read_only_their_partitions(spark, table, plan):
-    from wheelhouse.operators.partitioned import _same
+    from wheelhouse.operators.partitioned import in_partitions
 
-    text = plan(table.read().where(_same([{"year": 2020, "zone": None}], ["year", "zone"])))
+    text = plan(table.read().where(in_partitions([{"year": 2020, "zone": None}], ["year", "zone"])))
     assert "PartitionFilters: []" not in text and "DataFilters: []" in text

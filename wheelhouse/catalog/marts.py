@@ -16,6 +16,7 @@ from wheelhouse.operators.joins import sized
 from wheelhouse.operators.layout import spread
 from wheelhouse.plans import dimensions, facts, graph, rides, sales, words
 from wheelhouse.session import scratch_dir
+from wheelhouse.sinks.batches import BatchTable
 from wheelhouse.sinks.files import staged, write_all, write_parquet
 from wheelhouse.sources import generated
 from wheelhouse.sources.files import read_optional, read_parquet
@@ -177,26 +178,57 @@ def fact_ride_asof(t: Tables) -> DataFrame:
     return fact_rides(t, "asof")
 
 
+SALES_FACTS = """SELECT order_id, date_sk, salesrep_sk, 1 AS count_mv, amount AS revenue_mv,
+        md5(CAST(order_id AS VARCHAR) || CAST(date_sk AS VARCHAR) || salesrep_sk || '1'
+            || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR)) AS md5
+        FROM {sales} s LEFT JOIN calendar ON calendar_date = CAST(order_date AS DATE)
+        LEFT JOIN dim_salesrep d ON d.salesrep_id = s.salesrep_id AND order_date > scd_start AND order_date <= scd_end"""
+
+
 @query("fact_ride_incremental", with_tables(FACT_TABLES, FACTS, measures=MEASURES))
 def fact_ride_incremental(t: Tables) -> DataFrame:
-    """A first load up to the greatest customer key, and one more run that appends what came after it."""
-    path, opened = scratch_dir(t.spark, "fact-ride"), ride_dimensions(t)
+    """A first load up to the greatest customer key, and one more run that appends what came after it.
+
+    The fact lies in folders by the year of the ride's start, so the second run looks for loaded rides in those years
+    alone that its own rides have.
+    """
+    opened = ride_dimensions(t)
     border = limits.high_watermark(t.customer, "c_custkey")
+    dated = t.order_rides.withColumn("ride_year", F.year("start_time"))
 
     def load(source: DataFrame) -> DataFrame:
-        return facts.ride_facts(measured(t, source, opened.places), opened)
+        built = facts.ride_facts(measured(t, source, opened.places), opened)
+        return facts.with_year(built, t.dim_date).drop("month").withColumnRenamed("year", "ride_year")
 
-    write_parquet(load(t.order_rides.where(F.col("ride_id") <= border)), path)
-    rest = facts.new_rides(t.order_rides, read_parquet(t.spark, path))
-    write_parquet(load(rest), path, mode="append")
-    return read_parquet(t.spark, path)
+    table = BatchTable(t.spark, scratch_dir(t.spark, "fact-ride"), load(dated.limit(0)).schema, ["ride_year"])
+    table.load("up to the border", load(dated.where(F.col("ride_id") <= border)))
+    table.load("after it", load(table.unloaded(dated, ["ride_id"])))
+    return table.read().drop("ride_year")
 
 
-SALES_FACTS = """SELECT order_id, date_sk, salesrep_sk, 1 AS count_mv, amount AS revenue_mv,
-        md5(CAST(order_id AS VARCHAR) || CAST(date_sk AS VARCHAR) || salesrep_sk || '1'
-            || CAST(CAST(amount AS DECIMAL(18,2)) AS VARCHAR)) AS md5
-        FROM {sales} s LEFT JOIN calendar ON calendar_date = CAST(order_date AS DATE)
-        LEFT JOIN dim_salesrep d ON d.salesrep_id = s.salesrep_id AND order_date > scd_start AND order_date <= scd_end"""
+@query(
+    "fact_sales_resumed",
+    with_tables(
+        "sales calendar dim_salesrep",
+        "SELECT f.*, CAST(year(order_date) AS INT) AS order_year FROM facts f JOIN sales USING (order_id)",
+        facts=SALES_FACTS.format(sales="sales"),
+    ),
+)
+def fact_sales_resumed(t: Tables) -> DataFrame:
+    """Sales in three batches; the first run ends after two of them, the second one goes on, the third finds nothing."""
+    reps = staged(t.dim_salesrep, "dim-salesrep")
+    sales = t.sales.withColumn("order_year", F.year("order_date"))
+
+    def load(source: DataFrame) -> DataFrame:
+        years = source.select("order_id", "order_year")
+        return facts.sales_facts(source.drop("order_year"), t.calendar, reps).join(years, "order_id")
+
+    table = BatchTable(t.spark, scratch_dir(t.spark, "fact-sales"), load(sales.limit(0)).schema, ["order_year"])
+    for batches in ((0, 1), (0, 1, 2)):
+        for batch in batches:
+            table.load(f"sales {batch} of 3", load(sales.where(F.col("order_id") % 3 == batch)))
+    table.load("late", load(table.unloaded(sales, ["order_id"])))
+    return table.read()
 
 
 @query("fact_sales_asof", with_tables("sales calendar dim_salesrep", SALES_FACTS.format(sales="sales")))

@@ -13,7 +13,7 @@ from wheelhouse.operators import mutate
 from wheelhouse.sinks.files import staged
 
 
-def _same(values: Sequence[Mapping[str, object]], by: Sequence[str]) -> Column:
+def in_partitions(values: Sequence[Mapping[str, object]], by: Sequence[str]) -> Column:
     """Whether a row is in one of the partitions; only partition columns are looked at, so it prunes the scan.
 
     By one column it is a list of values, by several a list for each combination of the columns before the last.
@@ -81,12 +81,12 @@ class PartitionedTable:
         wanted = source.select(*(F.col(k).alias(f"__w_{k}") for k in keys)).distinct()
         matched = table.join(wanted, [F.col(k) == F.col(f"__w_{k}") for k in keys], "left_semi")
         touched = partitions_with(matched, self.by)
-        return self._replace(touched, mutate.merge(table.where(_same(touched, self.by)), source, keys, **clauses))
+        return self._replace(touched, mutate.merge(table.where(in_partitions(touched, self.by)), source, keys, **clauses))
 
     def _change(self, condition: Column, change: Callable[[DataFrame], DataFrame]) -> list[dict[str, object]]:
         table = self.read()
         touched = partitions_with(table, self.by, condition)
-        return self._replace(touched, change(table.where(_same(touched, self.by)))) if touched else []
+        return self._replace(touched, change(table.where(in_partitions(touched, self.by)))) if touched else []
 
     def _replace(self, touched: list[dict[str, object]], rows: DataFrame) -> list[dict[str, object]]:
         """Put ``rows`` in place of the touched partitions."""
@@ -94,7 +94,7 @@ class PartitionedTable:
         now = partitions_with(new, self.by)
         reached = [p for p in now if p not in touched]
         if reached:
-            new = staged(new.unionByName(self.read().where(_same(reached, self.by))), "changed-partitions")
+            new = staged(new.unionByName(self.read().where(in_partitions(reached, self.by))), "changed-partitions")
         if now:
             self._writer(new, "dynamic").parquet(self.path)
         for partition in touched:
@@ -109,7 +109,7 @@ class PartitionedTable:
     def _drop(self, partition: Mapping[str, object]) -> None:
         """Remove the folder of a partition; its name is that of its files."""
         file = F.col("_metadata.file_path")
-        folders = self.read().where(_same([partition], self.by)).select(F.regexp_extract(file, "^(.*)/", 1).alias("folder")).distinct()
+        folders = self.read().where(in_partitions([partition], self.by)).select(F.regexp_extract(file, "^(.*)/", 1).alias("folder")).distinct()
         context = self.spark.sparkContext
         for row in folders.collect():
             path = context._jvm.org.apache.hadoop.fs.Path(context._jvm.java.net.URI(row.folder))
