@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wheelhouse.llm import lsh_forest as forest
 from wheelhouse.llm.components import components
@@ -110,9 +111,10 @@ def test_rare_shingles_find_every_link(spark, monkeypatch, block):
     want = {(a, b) for a, x in sets.items() for b, y in sets.items() if a < b and 100 * len(x & y) >= 80 * len(x | y)}
     texts = spark.createDataFrame(rows, "node long, text string")
     nodes = texts.selectExpr("node", "node as origin", "node as component")
-    got = {(r.a, r.b) for r in forest.rare_pairs(nodes, texts, 4, 80).collect()}
+    full = forest.node_sets(nodes.select("node"), texts, 4).cache()
+    got = {(r.a, r.b) for r in forest.rare_pairs(nodes, full, 80).collect()}
     assert want <= got and len(got) < len(rows) ** 2 // 4
-    assert {(r.a, r.b) for r in forest.confirm(spark.createDataFrame(sorted(got), "a long, b long"), texts, 4, 80).collect()} == want
+    assert {(r.a, r.b) for r in forest.confirm(spark.createDataFrame(sorted(got), "a long, b long"), full, 80).collect()} == want
 
 
 def test_chain_of_links(spark):
@@ -128,7 +130,7 @@ def test_nulls_repeated_ids_and_clashing_columns(spark):
     assert [r for r in got if r[0] == 1] == [(1, 2, 1, True)] * 2 and (2, 2, 1, False) in got and (None, 2, 1, True) in got
     left = forest.without_copies(docs)
     assert left.columns == docs.columns
-    assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 3]
+    assert sorted(r.doc_id for r in left.collect() if r.doc_id) == [1, 3, 3]  # the two texts of one document stay
     assert forest.near_duplicates(docs.limit(0)).count() == 0 and forest.without_copies(docs.limit(0)).count() == 0
 
 
@@ -149,3 +151,41 @@ def test_components(spark):
     got = {r.node: r.component for r in components(df).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 7: 7, 8: 7, 9: 7} | {i: 100 for i in range(100, 161)}
     assert components(df.limit(0)).count() == 0
+
+
+def test_parity_never_says_more_than_differs(spark):
+    """The bits that differ are at most the shingles in one set alone, also between sets of different lengths."""
+    rng = np.random.RandomState(2)
+    rows = []
+    for size in (1, 3, 60, 64, 65, 100, 500, 520, 3000, 20_000):
+        one = np.unique(rng.randint(0, 1 << 62, size).astype(np.uint64))
+        for kept in (1.0, 0.95, 0.8, 0.3):
+            other = np.unique(np.concatenate([one[: int(kept * len(one))], rng.randint(0, 1 << 62, max(1, size // 9)).astype(np.uint64)]))
+            for x, y in ((one, other), (other, one)):
+                rows.append((forest.parity_of(x).tolist(), forest.parity_of(y).tolist(), len(np.setxor1d(x, y)), max(len(x), len(y))))
+    table = spark.createDataFrame(rows, "x array<long>, y array<long>, differing long, n long")
+    got = table.select(forest._parity_gap("x", "y").alias("gap"), "differing", "n", F.size("x").alias("words")).collect()
+    assert all(r.gap <= r.differing for r in got)
+    assert all(r.gap >= 0.3 * r.differing - 2 for r in got if r.differing <= 16 * r.words)
+
+
+def test_alike_but_unlinked_texts_stay_apart(spark):
+    """Two hundred texts that share two thirds of their words in place: none is similar enough, and few pairs are compared."""
+    rng = random.Random(12)
+    base = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(200):
+        words = list(base)
+        for place in range(0, 300, 12):
+            words[place + rng.randrange(4)] = f"own{i}x{place}"
+        rows.append((i, " ".join(words)))
+    assert groups(spark, rows) == brute(rows)
+    texts = spark.createDataFrame(rows, "node long, text string")
+    full = forest.node_sets(texts.select("node"), texts, 4).cache()
+    pairs = forest.rare_pairs(texts.selectExpr("node", "node as origin", "node as component"), full, 80)
+    assert pairs.count() < 200
+
+
+def test_texts_of_one_id_are_all_kept(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (1, "quite another text altogether here"), (1, "a b c d e f g"), (2, "a b c d e f g"), (None, "x")], "doc_id long, text string")
+    assert sorted((str(r.doc_id), r.text) for r in forest.without_copies(docs).collect()) == [("1", "a b c d e f g"), ("1", "quite another text altogether here"), ("None", "x")]

@@ -18,8 +18,8 @@ enough share one of their rarest shingles.  The nodes of a frequent shingle are
 Two documents with a similarity of 0.8 share a region in none of the 24 trees with a probability of 3e-6; those that
 share one are found.  Shingles are compared by 64-bit hashes.
 
-A null or empty text has no shingles and is linked with nothing.  Rows that share a doc_id are one document; a row
-without one is kept and belongs to no group.  Repeated rows are copies.  Columns named like the results are replaced.
+The key is an integer.  A null or empty text has no shingles and is linked with nothing.  Rows that share a doc_id are one
+document, with all of their texts; a row without one is kept and belongs to no group.  Repeated rows are copies.  Columns named like the results are replaced.
 """
 
 from __future__ import annotations
@@ -46,6 +46,7 @@ SMALL = 12  # nodes of a region that are all compared with each other
 BASE_BYTES = 1 + 4 * BASE_DEPTH
 KEY_BYTES = BASE_BYTES + 2 * MORE_DEPTH
 HELD_ROWS = 50_000
+MOST_BITS = 8192  # of a set's parity; longer sets are told apart less sharply before they are compared
 BLOCK_NODES = 500  # nodes of one frequent shingle that a row is joined with at a time
 HASHES = TREES * BASE_DEPTH
 _CHUNK = 1 << 14
@@ -272,25 +273,59 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     return pairs.groupBy("a", "b").agg(F.count("*").alias("n_trees")), crowded.join(several, "region", "left_semi")
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs whose full sets have 100 * intersection >= percent * union; ``texts`` has (node, text)."""
+def node_sets(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
+    """(node, shingles, parity) of the given nodes; ``texts`` has (node, text).
+
+    ``parity`` has a bit for every value of a shingle's hash, as many as the power of two at or above the number of
+    shingles, within bounds; it tells whether an odd number of shingles has that value.
+    """
 
     def prepare():
         shingler = Shingler(size)
 
-        def work(left: pa.Array, right: pa.Array) -> list:
-            linked = []
-            for one, other in zip(texts_of(left), texts_of(right)):
-                x, y = shingler(one), shingler(other)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                linked.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
-            return [linked]
+        def work(column: pa.Array) -> list:
+            sets = [shingler(body) for body in texts_of(column)]
+            kind = pa.list_(pa.int64())
+            return [pa.array([s.view(np.int64) for s in sets], kind), pa.array([parity_of(s) for s in sets], kind)]
 
         return work
 
-    sides = pairs.select("a", "b").join(texts.select(F.col("node").alias("a"), F.col("text").alias("_left")), "a")
-    sides = sides.join(texts.select(F.col("node").alias("b"), F.col("text").alias("_right")), "b")
-    return with_batches(sides, ["_left", "_right"], "_linked boolean", prepare).where("_linked").select("a", "b")
+    own = texts.join(nodes.hint("merge"), "node").withColumn("hash", F.xxhash64("text"))
+    own = own.dropDuplicates(["node", "hash"]).select("node", "text")
+    return with_batches(own, ["text"], "shingles array<bigint>, parity array<bigint>", prepare).drop("text")
+
+
+def parity_of(shingles: np.ndarray) -> np.ndarray:
+    """The parity bits of a set, in 64-bit words."""
+    bits = min(max(64, 1 << max(0, len(shingles) - 1).bit_length()), MOST_BITS)
+    odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _parity_gap(left: str, right: str) -> Column:
+    """How many parity bits differ; never more than the shingles that only one of both sets has.
+
+    A shingle in both sets changes no bit between them, and one in a single set changes one.  Of two lengths the longer
+    one is folded to the shorter: its bits for hashes that are equal there are added up.
+    """
+
+    def folded(words: str) -> Column:
+        half = (F.size(words) / 2).cast("int")
+        lower, upper = F.slice(words, F.lit(1), half), F.slice(words, half + 1, half)
+        return F.zip_with(lower, upper, lambda x, y: x.bitwiseXOR(y))
+
+    a, b = F.col(left), F.col(right)
+    a, b = F.when(F.size(a) > F.size(b), folded(left)).otherwise(a), F.when(F.size(b) > F.size(a), folded(right)).otherwise(b)
+    differing = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.aggregate(differing, F.lit(0), lambda total, n: total + F.coalesce(n, F.lit(0)))
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b, ...) whose full sets have 100 * intersection >= percent * union; ``sets`` from :func:`node_sets`."""
+    left, right = (sets.select(F.col("node").alias(end), F.col("shingles").alias(f"_{end}")) for end in ("a", "b"))
+    both = F.size(F.array_intersect("_a", "_b"))
+    linked = (both > 0) & (100 * both >= percent * (F.size("_a") + F.size("_b") - both))
+    return pairs.join(left, "a").join(right, "b").where(linked).select(*pairs.columns)
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -323,47 +358,40 @@ def _hub_pairs(rows: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame]
     return pairs.distinct(), best.select("region", "hub.node")
 
 
-def rare_pairs(nodes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def rare_pairs(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, a_group, b_group) of all nodes (node, origin, component) that can be linked but are not connected.
 
     Sets that are similar enough have a member in common among the first ``n - ceil(n * percent / 100) + 1`` of each, in
-    any order of all shingles; here from rare to frequent.
+    any order of all shingles; here from rare to frequent.  A pair goes on only if its parity bits leave it possible
+    that the sets are similar enough: with t = percent / 100, sets of x and y shingles that are linked differ in at
+    most (x + y) * (1 - t) / (1 + t) of them.  No linked pair is lost by either.
     """
 
-    def prepare():
-        shingler = Shingler(size)
-
-        def work(column: pa.Array) -> list:
-            return [pa.array([shingler(body).view(np.int64) for body in texts_of(column)], pa.list_(pa.int64()))]
-
-        return work
-
-    own = nodes.join(texts.select("node", "text"), "node")
-    sets = written(with_batches(own, ["text"], "shingles array<bigint>", prepare).drop("text"), "shingles")
+    sets = written(nodes.join(sets, "node"), "shingles")
     members = sets.select("node", F.explode("shingles").alias("shingle"))
     often = members.groupBy("shingle").agg(F.count("*").alias("times")).where("times > 1")
     shared = members.join(often, "shingle").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("times", "shingle"))).alias("shared"))
     n = F.size("shingles")
     # Shingles of one node alone are the rarest; they take places but find nothing.
     places = n - F.floor((n * percent + 99) / 100).cast("int") + 1 - (n - F.size("shared"))
-    heads = sets.join(shared, "node").where(places > 0).select("node", "origin", "component", n.alias("n"), F.explode(F.slice("shared", 1, places)).alias("s"))
+    heads = sets.join(shared, "node").where(places > 0).select("node", "origin", "component", n.alias("n"), "parity", F.explode(F.slice("shared", 1, places)).alias("s"))
     blocks = F.ceil(F.col("s.times") / BLOCK_NODES)
-    heads = heads.select("node", "origin", "component", "n", F.col("s.shingle").alias("shingle"), blocks.alias("blocks"))
+    heads = heads.select("node", "origin", "component", "n", "parity", F.col("s.shingle").alias("shingle"), blocks.alias("blocks"))
     heads = written(heads.withColumn("block", F.pmod(F.xxhash64("node"), "blocks")), "heads")
     met = heads.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))).drop("blocks")
-    left = met.toDF("a", "a_group", "a_component", "a_n", "shingle", "i", "j")
-    right = met.toDF("b", "b_group", "b_component", "b_n", "shingle", "j", "i")
+    left = met.toDF("a", "a_group", "a_component", "a_n", "a_parity", "shingle", "i", "j")
+    right = met.toDF("b", "b_group", "b_component", "b_n", "b_parity", "shingle", "j", "i")
     near = (F.col("a") < F.col("b")) & (F.col("a_component") != F.col("b_component"))
     near &= 100 * F.least("a_n", "b_n") >= percent * F.greatest("a_n", "b_n")
+    near &= _parity_gap("a_parity", "b_parity") * (100 + percent) <= (F.col("a_n") + F.col("b_n")) * (100 - percent)
     return left.join(right, ["shingle", "i", "j"]).where(near).select("a", "b", "a_group", "b_group").distinct()
 
 
-def completed(crowded: DataFrame, links: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+def completed(crowded: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The links (a, b, a_group, b_group), with those that still connect nodes of one region (region, node, origin)."""
 
     def more(pairs: DataFrame, purpose: str) -> DataFrame:
-        pairs = written(pairs, "met")
-        return written(links.unionByName(confirm(pairs, texts, size, percent).join(pairs, ["a", "b"])), purpose)
+        return written(links.unionByName(confirm(pairs, sets, percent)), purpose)
 
     rows = _unconnected(crowded, links)
     tried = rows.select("region", "node").limit(0)
@@ -374,7 +402,7 @@ def completed(crowded: DataFrame, links: DataFrame, texts: DataFrame, size: int,
         rows = _unconnected(crowded, links)
         count, before = rows.count(), count
     if count:
-        links = more(rare_pairs(rows.select("node", "origin", "component").distinct(), texts, size, percent), "rare-links")
+        links = more(rare_pairs(rows.select("node", "origin", "component").distinct(), sets, percent), "rare-links")
     return links
 
 
@@ -389,10 +417,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
     involved = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(crowded.select("node")).distinct()
     # One shuffle of the texts at any size; rows with one id and text are then dropped where they are.
-    texts = own.withColumnRenamed("id", "node").join(involved.hint("merge"), "node").withColumn("hash", F.xxhash64("text"))
-    texts = written(texts.dropDuplicates(["node", "hash"]).drop("hash"), "texts")
+    compared = written(node_sets(involved, own.withColumnRenamed("id", "node"), size), "compared")
     first = written(_best(pairs), "best")
-    groups = written(components(confirm(first, texts, size, percent)), "groups")
+    groups = written(components(confirm(first, compared, percent)), "groups")
 
     def group_of(node: str) -> Column:
         return F.coalesce(F.col(f"{node}_group"), F.col(node))
@@ -401,10 +428,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     for end in ("a", "b"):
         rest = rest.join(groups.toDF(end, f"{end}_group"), end, "left")
     rest = written(rest.where(group_of("a") != group_of("b")).select("a", "b", group_of("a").alias("a_group"), group_of("b").alias("b_group")), "rest")
-    later = written(confirm(rest, texts, size, percent).join(rest, ["a", "b"]), "later")
+    later = written(confirm(rest, compared, percent), "later")
     crowded = crowded.join(groups.toDF("node", "node_group"), "node", "left").select("region", "node", group_of("node").alias("origin"))
     crowded = written(crowded, "origins")
-    links = completed(crowded, later, texts, size, percent)
+    links = completed(crowded, later, compared, percent)
     merged = components(links, "a_group", "b_group").toDF("group", "merged")
 
     labels = groups.toDF("node", "group").unionByName(crowded.select("node", F.col("origin").alias("group"))).unionByName(rest.select(F.col("a").alias("node"), F.col("a_group").alias("group")).union(rest.select("b", "b_group")).distinct())
@@ -416,8 +443,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
-    """One document of each group, columns as they came; of rows that share the kept id, all but one text go."""
+    """One document of each group, columns as they came; of rows that share the kept id, those with equal texts are one."""
     kept = near_duplicates(docs, key, text, size, percent).where("kept").select(F.col(key).alias("_kept")).distinct()
     # By a shuffle on the id at any size, so that rows which share it are where one of them is chosen.
-    chosen = docs.join(kept.hint("merge"), docs[key] == kept["_kept"], "left_semi").dropDuplicates([key])
+    chosen = docs.join(kept.hint("merge"), docs[key] == kept["_kept"], "left_semi").dropDuplicates([key, text])
     return chosen.unionByName(docs.where(F.col(key).isNull()))
