@@ -96,5 +96,6 @@ def test_late_rows_are_found_in_their_years(spark, table, rows, plan):
 def test_empty_batches_and_no_folders(spark, tmp_path):
     flat = BatchTable(spark, str(tmp_path / "flat"), source(spark, 0, 1).schema)
     assert flat.read().count() == 0 and flat.load("nothing", source(spark, 0, 0)) == 0
+    assert flat.load("none", spark.createDataFrame([], source(spark, 0, 1).schema)) == 0
     assert flat.load("some", source(spark, 0, 7)) == 7 and flat.read().count() == 7
     assert flat.unloaded(source(spark, 0, 9), ["id"]).count() == 2

@@ -23,6 +23,7 @@ from wheelhouse.operators import quality
 from wheelhouse.plans import facts, graph, words
 from wheelhouse.session import scratch_dir
 from wheelhouse.sinks import files as sink
+from wheelhouse.sinks.audited import AuditedTable, known_keys
 from wheelhouse.sinks.graph import write_graph
 from wheelhouse.sources import files as source
 from wheelhouse.sources import versioned
@@ -283,3 +284,28 @@ def probe_saved_table(t: Tables) -> DataFrame:
         F.lit(source.path_exists(t.spark, path)).alias("after_write"),
         F.count("day").alias("days"),
     )
+
+
+@query(
+    "write_audited",
+    with_tables(
+        "order_rides locks",
+        """SELECT ride_id, concat_ws(', ', CASE WHEN end_time < start_time THEN 'ends before it starts' END,
+            CASE WHEN end_time IS NULL THEN 'no end' END,
+            CASE WHEN end_lock_id NOT IN (SELECT lock_id FROM locks WHERE lock_id % 2 = 0) THEN 'unknown lock' END) AS reasons
+        FROM order_rides""",
+    ),
+)
+def write_audited(t: Tables) -> DataFrame:
+    """Rides that keep all constraints are published, the others are in quarantine with their reasons."""
+    rides = t.order_rides.select("ride_id", "start_time", "end_time", "end_lock_id")
+    bad = {
+        "ends before it starts": F.col("end_time") < F.col("start_time"),
+        "no end": F.col("end_time").isNull(),
+        "unknown lock": ~F.col("lock_is_known"),
+    }
+    path = scratch_dir(t.spark, "audited-rides")
+    table = AuditedTable(t.spark, path, rides.schema, bad, allowed=10_000_000_000)
+    table.load("all rides", known_keys(rides, "end_lock_id", t.locks.where("lock_id % 2 = 0"), "lock_id", "lock_is_known"))
+    published = table.read().select("ride_id", F.lit("").alias("reasons"))
+    return published.unionByName(table.quarantine("all rides").select("ride_id", F.array_join("reasons", ", ").alias("reasons")))

@@ -9,6 +9,7 @@ from wheelhouse.catalog.bindings import Tables
 from wheelhouse.catalog.registry import query
 from wheelhouse.session import scratch_dir
 from wheelhouse.streaming import events as stream
+from wheelhouse.streaming.upserts import WindowTable
 
 DELAY = "10 seconds"
 EVENT_FIELDS = {
@@ -148,3 +149,45 @@ def stream_lifecycle(t: Tables) -> DataFrame:
         running.awaitTermination()
         running.stop()
     return t.spark.read.schema(rows.schema).parquet(target).groupBy("key").agg(F.count(F.lit(1)).alias("events"))
+
+
+HOURLY_PARTS_SQL = """WITH parts AS (
+        SELECT ts, event_type AS key, CAST(floor(value) AS INT) AS n, event_id,
+               CASE WHEN event_id % 7 = 3 THEN 2 WHEN event_id % 2 = 0 THEN 0 ELSE 1 END AS part FROM events),
+    marks AS (SELECT part, max(ts) AS latest FROM parts GROUP BY part),
+    marked AS (
+        SELECT p.*, time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+               (SELECT max(latest) - INTERVAL 10 DAY FROM marks m WHERE m.part < p.part) AS closed_by FROM parts p)"""
+
+
+def _arriving(t: Tables) -> WindowTable:
+    """Events in three files, one micro-batch each: even numbers, odd ones, and every seventh, which comes last."""
+    name = F.expr("CASE WHEN event_id % 7 = 3 THEN 2 WHEN event_id % 2 = 0 THEN 0 ELSE 1 END")
+    rows = t.events.select("event_id", F.col("ts").cast("timestamp").alias("ts"), F.col("event_type").alias("key"), F.floor("value").cast("int").alias("n"))
+    source, table = scratch_dir(t.spark, "arrivals"), WindowTable(t.spark, scratch_dir(t.spark, "hourly"), "ts", ["key"], "n", "1 hour", "10 days", every=2)
+    checkpoint = scratch_dir(t.spark, "hourly-checkpoint")
+    for part in range(3):
+        rows.where(name == part).write.mode("append").parquet(source)
+        table.follow(stream.file_stream(t.spark, source, rows.schema), checkpoint).awaitTermination()
+    return table
+
+
+@query(
+    "stream_upsert_sums",
+    f"""{HOURLY_PARTS_SQL} SELECT window_start, window_end, key, CAST(sum(n) AS BIGINT) AS total FROM marked
+        WHERE closed_by IS NULL OR window_end > closed_by GROUP BY window_start, window_end, key""",
+)
+def stream_upsert_sums(t: Tables) -> DataFrame:
+    """Hourly sums that three micro-batches have brought in, without the rows that came too late."""
+    sums = _arriving(t).sums().drop("_batch")
+    return sums.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+@query(
+    "stream_late_rows",
+    f"{HOURLY_PARTS_SQL} SELECT event_id, ts, key, n, closed_by FROM marked WHERE window_end <= closed_by",
+)
+def stream_late_rows(t: Tables) -> DataFrame:
+    """The rows that came after the watermark had closed their window, with that watermark."""
+    late = _arriving(t).late().drop("_batch")
+    return late.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("ts", "closed_by")})

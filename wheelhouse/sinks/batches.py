@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wheelhouse.operators.partitioned import in_partitions, partitions_with
+from wheelhouse.sinks.files import observed
 
 
 class BatchTable:
@@ -59,7 +60,7 @@ class BatchTable:
         counted = rows.select(*self.schema.names).observe(seen, F.count(F.lit(1)).alias("rows"))
         writer = (counted.hint("rebalance", *self.by) if self.by else counted).write.mode("overwrite")
         (writer.partitionBy(*self.by) if self.by else writer).parquet(f"{self.path}/{self._folder(batch)}")
-        return seen.get["rows"]
+        return observed(seen)["rows"]
 
     def _verify(self, batch: str, written: int) -> None:
         found = self._open([batch]).count()

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,11 +73,21 @@ def insert_statements(table: str, columns: Sequence[str], literals: Sequence[Col
     return F.concat(F.lit(f"INSERT INTO {table} ({', '.join(columns)}) VALUES ("), values, F.lit(");"))
 
 
+def observed(seen: Observation) -> dict[str, int]:
+    """The counts of a finished write; zeros if Spark found its input to be empty and took the observation out."""
+    try:
+        return seen.get
+    except Py4JJavaError as error:
+        if "assertion failed" not in str(error.java_exception):
+            raise
+        return defaultdict(int)
+
+
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite") -> int:
     """Write and count in the same pass; the number of rows that went to the files."""
     seen = Observation()
     write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), path, mode)
-    return seen.get["rows"]
+    return observed(seen)["rows"]
 
 
 def row_counts(spark: SparkSession, written: int, path: str) -> DataFrame:
