@@ -12,13 +12,14 @@ from wheelhouse.catalog.expressions import RIDE_LEG, STATION_LEG
 from wheelhouse.catalog.registry import query
 from wheelhouse.functions import weather
 from wheelhouse.operators import limits
+from wheelhouse.operators.distinct import bitmaps, counted
 from wheelhouse.operators.joins import sized
 from wheelhouse.operators.layout import spread
 from wheelhouse.plans import dimensions, facts, graph, rides, sales, words
 from wheelhouse.session import scratch_dir
 from wheelhouse.sinks.batches import BatchTable
 from wheelhouse.sinks.files import staged, write_all, write_parquet
-from wheelhouse.sources import generated
+from wheelhouse.sources import generated, variants
 from wheelhouse.sources.files import read_optional, read_parquet
 
 AS_OF = "1998-12-31 00:00:00"
@@ -282,14 +283,13 @@ BASE = """SELECT ride_id, start_time, end_time, vehicle_id, serial_number, user_
         LEFT JOIN locks lb ON lb.lock_id = end_lock_id LEFT JOIN stations b ON b.station_id = lb.station_id"""
 GRAPH_TABLES = "order_rides vehicles subscriptions users locks stations"
 NODES = """SELECT DISTINCT 'd-' || district AS id, 'District' AS label, to_json({name: district}) AS properties FROM stations
-        UNION ALL SELECT DISTINCT 's-' || station_id, 'Station', to_json({stationId: CAST(station_id AS VARCHAR),
-            name: street || coalesce(' ' || number, ''), zipcode: zipcode}) FROM stations
-        UNION ALL SELECT DISTINCT 'u-' || user_id, 'User', to_json({userId: CAST(user_id AS VARCHAR), email: email, city: city}) FROM base
-        UNION ALL SELECT DISTINCT 'v-' || vehicle_id, 'Vehicle', to_json({vehicleId: CAST(vehicle_id AS VARCHAR),
-            serialNumber: serial_number}) FROM base
-        UNION ALL SELECT 'r-' || ride_id, 'Ride', to_json({rideId: CAST(ride_id AS VARCHAR),
-            startTime: strftime(start_time, '%Y-%m-%d %H:%M:%S'), endTime: strftime(end_time, '%Y-%m-%d %H:%M:%S'),
-            duration: CAST(CAST(extract(epoch FROM end_time - start_time) AS DECIMAL(18,1)) AS VARCHAR)}) FROM base"""
+        UNION ALL SELECT DISTINCT 's-' || station_id, 'Station', to_json({name: street || coalesce(' ' || number, ''),
+            stationId: station_id, zipcode: zipcode}) FROM stations
+        UNION ALL SELECT DISTINCT 'u-' || user_id, 'User', to_json({city: city, email: email, userId: user_id}) FROM base
+        UNION ALL SELECT DISTINCT 'v-' || vehicle_id, 'Vehicle', to_json({serialNumber: serial_number, vehicleId: vehicle_id}) FROM base
+        UNION ALL SELECT 'r-' || ride_id, 'Ride', to_json({duration: CAST(extract(epoch FROM end_time - start_time) AS DOUBLE),
+            endTime: strftime(end_time, '%Y-%m-%d %H:%M:%S'), rideId: ride_id,
+            startTime: strftime(start_time, '%Y-%m-%d %H:%M:%S')}) FROM base"""
 EDGES = """SELECT 'sd-' || station_id AS id, 'LOCATED_IN' AS type, 's-' || station_id AS startNode, 'd-' || district AS endNode
             FROM stations
         UNION ALL SELECT 'rs-' || ride_id, 'STARTS_AT', 'r-' || ride_id, 's-' || start_station_id FROM base
@@ -616,3 +616,59 @@ def write_whole_mart(t: Tables) -> DataFrame:
     for name in write_all(tables, folder):
         counts.append(read_parquet(t.spark, f"{folder}/{name}").agg(F.count(F.lit(1)).alias("total")).select(F.lit(name).alias("name"), "total"))
     return reduce(DataFrame.unionByName, counts)
+
+
+# --- growing data --------------------------------------------------------------------------------
+
+
+@query(
+    "distinct_users_by_month",
+    "SELECT date_trunc('month', ts)::DATE AS month, count(DISTINCT user_id) AS users FROM events GROUP BY 1",
+)
+def distinct_users_by_month(t: Tables) -> DataFrame:
+    """Different users of every month from stored bitmaps of days; the second load reads none of the first one's events."""
+    events = t.events.select(F.to_date("ts").alias("day"), "user_id")
+    half = F.col("day") < F.lit("2024-01-15").cast("date")
+    first = bitmaps(events.where(half), ["day"], "user_id")
+    stored = BatchTable(t.spark, scratch_dir(t.spark, "user-days"), first.schema)
+    stored.load("first half", first)
+    stored.load("second half", bitmaps(events.where(~half), ["day"], "user_id"))
+    return counted(stored.read().withColumn("month", F.trunc("day", "month")), ["month"], "users")
+
+
+@query(
+    "weather_documents_mixed",
+    with_tables(
+        "weather",
+        """SELECT event_id, CASE WHEN event_id % 5 = 3 THEN NULL ELSE zipcode END AS zipcode,
+            CASE WHEN event_id % 5 IN (3, 4) THEN NULL ELSE epoch END AS epoch,
+            CASE WHEN event_id % 5 = 3 THEN NULL ELSE condition END AS condition,
+            CASE WHEN event_id % 5 IN (2, 3) THEN NULL ELSE kelvin END AS kelvin,
+            CAST(CASE WHEN event_id % 5 = 1 THEN 40 END AS INT) AS humidity,
+            CASE event_id % 5 WHEN 2 THEN 'kelvin: not a double' WHEN 3 THEN 'unreadable' WHEN 4 THEN 'epoch: missing' ELSE '' END AS faults
+        FROM weather""",
+    ),
+)
+def weather_documents_mixed(t: Tables) -> DataFrame:
+    """Documents of the old shape, the new one, and three kinds of broken ones, each with what is wrong with it."""
+    old = lambda *dropped: F.to_json(
+        F.struct(
+            F.col("zipcode").alias("zipCode"),
+            F.array(F.struct(F.col("condition").alias("main"))).alias("weather"),
+            F.struct((F.lit("warm") if "kelvin" in dropped else F.col("kelvin")).alias("temp")).alias("main"),
+            *([] if "epoch" in dropped else [F.col("epoch").alias("dt")]),
+        )
+    )
+    new = F.to_json(
+        F.struct(
+            F.struct(F.col("zipcode").alias("zip")).alias("place"),
+            F.col("condition").alias("sky"),
+            F.struct(F.col("kelvin").alias("kelvin")).alias("temperature"),
+            F.col("epoch").cast("string").alias("observed"),
+            F.lit(40).alias("humidity"),
+        )
+    )
+    shape = F.col("event_id") % 5
+    text = F.when(shape == 1, new).when(shape == 2, old("kelvin")).when(shape == 3, F.lit('{"zipCode": ')).when(shape == 4, old("epoch")).otherwise(old())
+    documents = variants.typed_documents(t.weather.select("event_id", text.alias("value")), "value", variants.WEATHER_FIELDS)
+    return documents.withColumn("faults", F.array_join("faults", ", ")).drop("value")

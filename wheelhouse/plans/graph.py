@@ -49,11 +49,15 @@ def ride_base(
     return joined.drop("subscription_id", "start_lock_id", "end_lock_id")
 
 
+def _typed(properties: dict[str, Column]) -> Column:
+    """Properties with their own types in one column for all labels; numbers stay numbers in the files."""
+    if not properties:
+        return F.parse_json(F.lit("{}"))
+    return F.to_variant_object(F.struct(*(value.alias(name) for name, value in properties.items())))
+
+
 def _node(node_id: Column, label: str, properties: dict[str, Column]) -> Column:
-    pairs = [part for name, value in properties.items() for part in (F.lit(name), value.cast("string"))]
-    return F.struct(
-        node_id.alias("id"), F.array(F.lit(label)).alias("labels"), F.create_map(*pairs).alias(PROPERTIES)
-    )
+    return F.struct(node_id.alias("id"), F.array(F.lit(label)).alias("labels"), _typed(properties).alias(PROPERTIES))
 
 
 def _edge(edge_id: Column, kind: str, start: Column, end: Column) -> Column:
@@ -62,7 +66,7 @@ def _edge(edge_id: Column, kind: str, start: Column, end: Column) -> Column:
         F.lit(kind).alias("type"),
         start.alias("startNode"),
         end.alias("endNode"),
-        F.create_map().cast("map<string,string>").alias(PROPERTIES),
+        _typed({}).alias(PROPERTIES),
     )
 
 
@@ -115,7 +119,7 @@ def ride_nodes(base: DataFrame) -> DataFrame:
             "rideId": F.col("ride_id"),
             "startTime": dates.format_timestamp(start),
             "endTime": dates.format_timestamp(end),
-            "duration": dates.elapsed_seconds(start, end).cast("decimal(18,1)"),
+            "duration": dates.elapsed_seconds(start, end).cast("double"),
         },
     )
     return base.select(F.inline(F.array(node)))
