@@ -46,7 +46,7 @@ SMALL = 12  # nodes of a region that are all compared with each other
 BASE_BYTES = 1 + 4 * BASE_DEPTH
 KEY_BYTES = BASE_BYTES + 2 * MORE_DEPTH
 HELD_ROWS = 50_000
-MOST_BITS = 8192  # of a set's parity; longer sets are told apart less sharply before they are compared
+MOST_BITS = 16384  # of a set's parity; longer sets are told apart less sharply before they are compared
 BLOCK_NODES = 500  # nodes of one frequent shingle that a row is joined with at a time
 HASHES = TREES * BASE_DEPTH
 _CHUNK = 1 << 14
@@ -276,8 +276,8 @@ def candidates(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def node_sets(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
     """(node, shingles, parity) of the given nodes; ``texts`` has (node, text).
 
-    ``parity`` has a bit for every value of a shingle's hash, as many as the power of two at or above the number of
-    shingles, within bounds; it tells whether an odd number of shingles has that value.
+    ``parity`` has a bit for every value of a shingle's hash, as many as the power of two at or above twice the
+    number of shingles, within bounds; it tells whether an odd number of shingles has that value.
     """
 
     def prepare():
@@ -297,7 +297,7 @@ def node_sets(nodes: DataFrame, texts: DataFrame, size: int) -> DataFrame:
 
 def parity_of(shingles: np.ndarray) -> np.ndarray:
     """The parity bits of a set, in 64-bit words."""
-    bits = min(max(64, 1 << max(0, len(shingles) - 1).bit_length()), MOST_BITS)
+    bits = min(max(64, 2 << max(0, len(shingles) - 1).bit_length()), MOST_BITS)
     odd = np.bincount((shingles % np.uint64(bits)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8)).view(np.int64)
 
