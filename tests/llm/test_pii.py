@@ -103,3 +103,68 @@ def test_query_against_plain_rules(spark):
         joined = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in base)
         assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert [row.n_email, row.n_ip, row.n_card, row.n_phone] == [sum(k == kind for _, k, _ in base) for kind in range(4)]
+
+
+# Written by hand, not by the generator of the training table: (text, entities beside the exact shapes).
+BY_HAND = [
+    ("Please call (415) 555-2671 before noon.", ["(415) 555-2671"]), ("Tel. 415-555-2671, room 12", ["415-555-2671"]), ("dial 415.555.2671!", ["415.555.2671"]),
+    ("paid with 4111.1111.1111.1111 yesterday", ["4111.1111.1111.1111"]), ("reach me: (020) 7946-0958 or by mail", ["(020) 7946-0958"]),
+    ("the population grew to 1 234 567 890 in that year", []), ("ISBN 978-3-16-148410-0", []), ("ISBN-10: 0-306-40615-2", []), ("order 4111111111111112 shipped", []),
+    ("scores 12 7 33 9 81 44 and 1024 2048 4096 8192", []), ("on 2024-01-15 at 10:22:59 we sold 1,234,567 items", []), ("pi is 3.14159265358979", []),
+    ("server 10.0.0.300 is no address", []), ("version 4.18.0.211.3", []), ("see @handle and a@b", []), ("1999-2003, 2004-2010", []), ("x = 0.001 0.002 0.003 0.004", []),
+    ("rows 1111 2222 3333 4444 5555 6666 7777 8888 9999", []), ("id 123456789012345678901234567890", []), ("lat 51.2194 lon 4.4025", []),
+]
+
+
+def test_rows_written_by_hand(trained):
+    hits = wanted = wrong = 0
+    for text, entities in BY_HAND:
+        got = [text[start:end] for start, _, end, exact in pii.spans_of(text, trained) if not exact]
+        hits, wanted, wrong = hits + len(set(got) & set(entities)), wanted + len(entities), wrong + len(set(got) - set(entities))
+    assert hits >= wanted - 1 and wrong <= 1
+
+
+def _table(rng, count, between, least, most):
+    return between.join(str(rng.randint(least, most)) for _ in range(count))
+
+
+@pytest.mark.parametrize("between", [" ", "\t", ", ", "\n", ";", "  ", " | "])
+def test_number_tables_hold_no_personal_data(trained, between):
+    rng = random.Random(6)
+    for least, most in ((1, 9), (100, 9999), (1000, 9999), (1, 99999), (100_000, 999_999)):
+        text = _table(rng, 600, between, least, most)
+        found = pii.field_spans(text, trained)
+        assert len(found) <= 6  # 1 % of the numbers
+        assert all(sum(c.isdigit() for c in text[s:e]) <= 19 for s, _, e in found)
+
+
+def test_streamed_division_equals_the_best(trained):
+    rng = random.Random(7)
+    bits = ["555", "(555)", " ", " ", "-", ".", "010", "1234", "4111", "1111", "a", "@", "b.c", "+1", "10", ",", "7"]
+    for text in ["(555) 010-1234", "10.0.0.1:80 a.b@c.org"] + ["".join(rng.choices(bits, k=rng.randint(1, 30))) for _ in range(200)]:
+        tokens, found = pii.segments(text, 0, len(text))
+        if tokens:
+            best = [(tokens[s.start][0], s.label, tokens[s.end - 1][1]) for s in trained.best(len(tokens), found) if s.label]
+            assert trained.entities(text, tokens) == best
+
+
+def test_long_numeric_text_in_bounded_memory(trained):
+    """A megabyte of numbers in one line: seconds, and little beside the text and its tokens."""
+    import time
+    import tracemalloc
+
+    text = _table(random.Random(8), 200_000, " ", 100, 9999)[:1_000_000]
+    began = time.process_time()
+    assert len(pii.spans_of(text, trained)) < 2000
+    assert time.process_time() - began < 60
+    tracemalloc.start()
+    pii.spans_of(text[:100_000], trained)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 20 << 20
+
+
+def test_context_is_that_of_the_segment(trained):
+    """The word before a number, not the one before its whole run of numbers, is what counts."""
+    facts = pii._features("isbn 12 phone 415-555-2671", 14, 26, 4)
+    assert "phone before phone" in facts and "phone before isbn" not in facts

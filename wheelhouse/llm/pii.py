@@ -7,7 +7,7 @@ stands on either side, the word before.  Dynamic programming over the segments (
 alone) finds the boundaries and types of best total score together with the weights between neighbouring labels.
 
 The weights are trained here, by the likelihood of a small labelled table that is generated from rules: the four kinds
-of data in many writings, among dates, times, versions, amounts, order numbers and other ordinary numbers.
+of data in many writings, among dates, times, versions, amounts, book and order numbers, counts, lines of number tables.
 
 The exact shapes (email, ip, card, phone) always stay; a span of the field is added where it meets none of them.  A null
 or empty text has no spans.  Texts are read whole; positions are code points, ends exclusive.  Repeated rows are judged
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import random
 import re
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
@@ -30,9 +31,10 @@ from wheelhouse.llm.batches import texts_of, with_batches
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
+MOST_DIGITS = 19  # of any number that is personal data here
 LONGEST = 16  # tokens of an entity; a card of single digits with separators has more, its exact shape is found anyway
 EPOCHS = 16
-TABLE_ROWS = 500
+TABLE_ROWS = 750
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -43,6 +45,7 @@ _DIGIT_RUN = re.compile(r"[0-9][0-9.]*")
 _CUE = re.compile(r"[0-9@]+")
 _TOKEN = re.compile(r"[0-9]+|[^\W\d_]+|[^\w]|_|\w")
 _NUMBER_CHARS = frozenset("0123456789 ().+-")
+_SHAPE = str.maketrans("123456789", "000000000")
 
 
 def luhn(digits: str) -> bool:
@@ -133,57 +136,104 @@ def _side(text: str, at: int) -> str:
     return "word" if text[at].isalnum() or text[at] in "_@" else "close" if text[at] in ",;:!?\"')]>" else text[at]
 
 
+def _in_row(text: str, at: int, step: int) -> bool:
+    """Whether another number stands next to a place, with nothing but a few blanks and list marks in between."""
+    for k in range(at, at + 6 * step, step):
+        if not 0 <= k < len(text) or text[k] not in " \t\n,;|":
+            return k != at and 0 <= k < len(text) and text[k] in "0123456789"
+    return False
+
+
 def _word_before(text: str, start: int) -> str:
     words = re.findall(r"[^\W\d_]+", text[max(0, start - 24) : start].lower())
     return words[-1] if words else ""
 
 
-def _features(text: str, start: int, end: int, label: int, before: str) -> tuple[str, ...]:
-    span, kind = text[start:end], LABELS[label]
-    digits = _digits(span)
-    groups = re.findall(r"[0-9]+", span)
-    marks = "".join(sorted(set(span) & set(" ().+-")))
-    facts = ["bias", f"left {_side(text, start - 1)}", f"right {_side(text, end)}", f"before {before}"]
-    if kind == "email":
-        name, _, domain = span.partition("@")
-        last = domain.rpartition(".")[2]
-        facts += [f"dot {'.' in domain}", f"last {last.isalpha() and 2 <= len(last) <= 10}", f"name {bool(name)}", f"again {'@' in domain}"]
-    else:
-        n = len(digits)
-        facts += [f"digits {n if n <= 20 else 20}", f"marks {marks}", f"groups {len(groups)}", f"sizes {'-'.join(str(len(g)) for g in groups)}"]
-        facts += [f"plus {span[0] == '+'}", f"brackets {span.count('(') == span.count(')') == span.count('(')}", f"zero {digits[:1] == '0'}"]
-        if kind == "card":
-            facts.append(f"luhn {12 <= n <= 19 and luhn(digits)}")
-        if kind == "ip":
-            facts.append(f"octets {marks == '.' and len(groups) == 4 and '..' not in span and all(len(g) <= 3 and int(g) <= 255 for g in groups)}")
+def _shape_features(kind: str, shape: str, zero: bool) -> tuple[str, ...]:
+    """What the form of a number says, digits as 0; the same for all numbers of one form."""
+    groups = re.findall("0+", shape)
+    marks = "".join(sorted(set(shape) & set(" ().+-")))
+    facts = ["bias", f"digits {shape.count('0')}", f"marks {marks}", f"groups {len(groups)}", f"sizes {'-'.join(str(len(g)) for g in groups)}"]
+    facts += [f"plus {shape[0] == '+'}", f"brackets {shape.count('(') == shape.count(')') == shape.count(' (') + shape.startswith('(')}", f"zero {zero}"]
     return tuple(f"{kind} {fact}" for fact in facts)
 
 
-def segments(text: str, low: int, high: int) -> tuple[list[tuple[int, int]], list[Segment]]:
-    """The tokens of an island and all candidate segments, by their ends."""
-    tokens = [m.span() for m in _TOKEN.finditer(text, low, high)]
-    before = _word_before(text, low)
-    out = []
+def _place_features(kind: str, text: str, start: int, end: int) -> tuple[str, ...]:
+    """What stands around a number."""
+    left, right = _in_row(text, start - 1, -1), _in_row(text, end, 1)
+    facts = [f"left {_side(text, start - 1)}", f"right {_side(text, end)}", f"before {_word_before(text, start)}", f"row {left} {right}"]
+    return tuple(f"{kind} {fact}" for fact in facts)
+
+
+def _mail_features(text: str, start: int, end: int) -> tuple[str, ...]:
+    name, _, domain = text[start:end].partition("@")
+    last = domain.rpartition(".")[2]
+    facts = ["bias", f"left {_side(text, start - 1)}", f"right {_side(text, end)}", f"dot {'.' in domain}"]
+    facts += [f"last {last.isalpha() and 2 <= len(last) <= 10}", f"name {bool(name)}", f"again {'@' in domain}"]
+    return tuple(f"email {fact}" for fact in facts)
+
+
+def _features(text: str, start: int, end: int, label: int) -> tuple[str, ...]:
+    kind = LABELS[label]
+    if kind == "email":
+        return _mail_features(text, start, end)
+    span = text[start:end]
+    return _shape_features(kind, span.translate(_SHAPE), _digits(span)[:1] == "0") + _place_features(kind, text, start, end)
+
+
+def _token_feature(token: str) -> str:
+    shape = f"digits {min(len(token), 8)}" if token[0].isdigit() else "@" if token == "@" else "word" if token[0].isalpha() else "mark"
+    return f"other {shape}"
+
+
+def candidates(text: str, tokens: list[tuple[int, int]]) -> Iterator[tuple[int, int, int]]:
+    """(first token, token after the last, label) of what may be an entity, by first token.
+
+    An entity is bounded: by its tokens, and by what its kind can be at all.  A card has 12 to 19 digits that pass the
+    check sum, a telephone number 7 to 15, an address four octets between dots.
+    """
+    count = len(tokens)
     for i, (start, stop) in enumerate(tokens):
-        token = text[start:stop]
-        shape = f"digits {min(len(token), 8)}" if token[0].isdigit() else "@" if token == "@" else "word" if token[0].isalpha() else "mark"
-        out.append(Segment(i, i + 1, 0, (f"other {shape}",)))
-        if not (token[0].isalnum() or token in "+("):
+        first = text[start]
+        if not (first.isalnum() or first in "+("):
             continue
-        numeric, mail, ats = True, True, 0
-        for j in range(i, min(len(tokens), i + LONGEST)):
-            piece, end = text[tokens[j][0] : tokens[j][1]], tokens[j][1]
-            numeric &= all(c in _NUMBER_CHARS for c in piece)
-            mail &= all(c in _LOCAL or c == "@" for c in piece)
-            ats += piece.count("@")
+        numeric = mail = True
+        ats, digits, dots, others = 0, "", 0, False
+        for j in range(i, min(count, i + LONGEST)):
+            low, end = tokens[j]
+            piece = text[low:end]
+            if "0" <= piece[0] <= "9":
+                digits += piece
+            elif piece == ".":
+                dots += 1
+            else:
+                numeric = numeric and piece in _NUMBER_CHARS
+                others = True
+            numeric = numeric and len(digits) <= MOST_DIGITS
+            if mail:
+                ats += piece == "@"
+                mail = piece == "@" or all(c in _LOCAL for c in piece)
             if not numeric and not mail:
                 break
             if not piece[-1].isalnum():
                 continue
-            if numeric and j > i and len(_digits(text[start:end])) >= 7 or numeric and len(piece) >= 7:
-                out += [Segment(i, j + 1, label, _features(text, start, end, label, before)) for label in (2, 3, 4)]
+            if numeric:
+                n = len(digits)
+                if 7 <= n <= 15:
+                    yield i, j + 1, 4
+                if 12 <= n and luhn(digits):
+                    yield i, j + 1, 3
+                if dots == 3 and not others and j == i + 6 and all(tokens[k][1] - tokens[k][0] <= 3 and int(text[tokens[k][0] : tokens[k][1]]) <= 255 for k in (i, i + 2, i + 4, j)):
+                    yield i, j + 1, 2
             if mail and ats and j > i:
-                out.append(Segment(i, j + 1, 1, _features(text, start, end, 1, before)))
+                yield i, j + 1, 1
+
+
+def segments(text: str, low: int, high: int) -> tuple[list[tuple[int, int]], list[Segment]]:
+    """The tokens of an island and all segments, single tokens that are no entity among them, by their ends."""
+    tokens = [m.span() for m in _TOKEN.finditer(text, low, high)]
+    out = [Segment(i, i + 1, 0, (_token_feature(text[start:stop]),)) for i, (start, stop) in enumerate(tokens)]
+    out += [Segment(i, j, label, _features(text, tokens[i][0], tokens[j - 1][1], label)) for i, j, label in candidates(text, tokens)]
     out.sort(key=lambda s: (s.end, s.start))
     return tokens, out
 
@@ -214,6 +264,66 @@ class Field:
             at = segment.start
         return chosen[::-1]
 
+    def entities(self, text: str, tokens: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+        """(start, label, end) in the text, of the best division; the same as :meth:`best`, holding little of it.
+
+        Scores are kept for as many tokens as an entity can have; for the rest of an island there are two small numbers
+        for each token and label, which lead back.  What depends on the form of a number alone is worked out once.
+        """
+        count, states = len(tokens), len(LABELS)
+        steps, weights = self.steps.tolist(), self.weights
+        low = float("-inf")
+        ring = [[low] * states for _ in range(LONGEST + 1)]
+        ring[0][0] = 0.0
+        back_from, back_label = array("l", bytes(array("l").itemsize * (count + 1) * states)), bytearray((count + 1) * states)
+        shapes: dict[tuple, float] = {}
+        found, follow = candidates(text, tokens), None
+        follow = next(found, None)
+        for i in range(count):
+            score = ring[i % (LONGEST + 1)]
+            arriving: list[tuple[float, int] | None] = [None] * states
+
+            def reach(label: int, end: int, value: float) -> None:
+                if arriving[label] is None:
+                    options = [score[k] + steps[k][label] for k in range(states)]
+                    top = max(options)
+                    arriving[label] = top, options.index(top)
+                base, last = arriving[label]
+                target = ring[end % (LONGEST + 1)]
+                if base + value > target[label]:
+                    target[label] = base + value
+                    back_from[end * states + label], back_label[end * states + label] = i, last
+
+            start, stop = tokens[i]
+            reach(0, i + 1, weights.get(_token_feature(text[start:stop]), 0.0))
+            while follow is not None and follow[0] == i:
+                _, j, label = follow
+                reach(label, j, self._value(text, start, tokens[j - 1][1], label, shapes))
+                follow = next(found, None)
+            ring[i % (LONGEST + 1)] = [low] * states
+        ends = ring[count % (LONGEST + 1)]
+        at, label, out = count, ends.index(max(ends)), []
+        while at:
+            begin, last = back_from[at * states + label], back_label[at * states + label]
+            if label:
+                out.append((tokens[begin][0], label, tokens[at - 1][1]))
+            at, label = begin, last
+        return out[::-1]
+
+    def _value(self, text: str, start: int, end: int, label: int, shapes: dict[tuple, float]) -> float:
+        weights, kind = self.weights, LABELS[label]
+        if kind == "email":
+            return sum(weights.get(f, 0.0) for f in _mail_features(text, start, end))
+        span = text[start:end]
+        shape = span.translate(_SHAPE)
+        key = (label, shape, span[shape.index("0")] == "0")
+        value = shapes.get(key)
+        if value is None:
+            if len(shapes) > 50_000:
+                shapes.clear()
+            value = shapes[key] = sum(weights.get(f, 0.0) for f in _shape_features(kind, shape, key[2]))
+        return value + sum(weights.get(f, 0.0) for f in _place_features(kind, text, start, end))
+
 
 def _expected(count: int, found: list[Segment], scores: np.ndarray, steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities of the segments, and of the label steps, under the field (forward and backward sums)."""
@@ -272,9 +382,29 @@ def labelled_table(rows: int = TABLE_ROWS, seed: int = 11) -> list[tuple[str, li
             )
         )
 
+    def isbn() -> str:
+        return rng.choice((f"978-{number(1)}-{number(2)}-{number(6)}-{number(1)}", f"978-{number(1)}-{number(4)}-{number(4)}-{number(1)}", f"978{number(10)}", f"{number(1)}-{number(3)}-{number(5)}-{number(1)}"))
+
+    def numbers() -> str:
+        """A line of a table: numbers of like sizes, one after the other."""
+        least = rng.randint(1, 6)
+        if rng.random() < 0.5:
+            return " ".join(number(4) for _ in range(rng.randint(6, 16)))
+        between = rng.choice((" ", " ", " ", ", ", "\t", "  ", ";"))
+        return between.join(number(rng.randint(least, least + rng.randint(0, 3))) for _ in range(rng.randint(3, 12)))
+
+    def count() -> str:
+        mark = rng.choice((" ", " ", ",", "."))
+        return str(rng.randint(1, 999)) + "".join(mark + number(3) for _ in range(rng.randint(2, 4)))
+
     makers = (email, ip, card, phone)
     table = []
-    for _ in range(rows):
+    for row in range(rows):
+        if row % 3 == 2:
+            cue = rng.choice(("isbn", "isbn", "book", word()))
+            value = rng.choice((f"{cue} {isbn()}", f"{cue}: {isbn()}", numbers(), numbers(), f"{word()} {count()} {word()}", f"{count()} {word()}"))
+            table.append((f"{word()} {value} {word()}", []))
+            continue
         text, spans = word(), []
         for _ in range(rng.randint(1, 3)):
             text += " " + " ".join(word() for _ in range(rng.randint(0, 2)))
@@ -330,9 +460,8 @@ def field_spans(text: str, trained: Field) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the entities that the field finds."""
     out = []
     for low, high in islands(text):
-        tokens, found = segments(text, low, high)
-        if any(s.label for s in found):
-            out += [(tokens[s.start][0], s.label - 1, tokens[s.end - 1][1]) for s in trained.best(len(tokens), found) if s.label]
+        tokens = [m.span() for m in _TOKEN.finditer(text, low, high)]
+        out += [(start, label - 1, end) for start, label, end in trained.entities(text, tokens)]
     return out
 
 
