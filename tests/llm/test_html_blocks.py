@@ -51,7 +51,7 @@ def test_tree_column_equals_the_learned_model(spark):
     from pyspark.sql import functions as F
 
     rows = blocks.labelled_blocks(spark)
-    model = DecisionTreeClassifier(maxDepth=5, minInstancesPerNode=2, seed=7).fit(rows.coalesce(1))
+    model = DecisionTreeClassifier(maxDepth=blocks.DEPTH, minInstancesPerNode=blocks.LEAST, weightCol="weight", seed=7).fit(rows.coalesce(1))
     told = model.transform(rows).withColumn("ours", blocks.tree_column(model.toDebugString, vector_to_array("features")))
     assert told.where(F.col("ours") != (F.col("prediction") == 1)).count() == 0
     assert told.where(F.col("ours") == (F.col("label") == 1)).count() > 0.97 * rows.count()
@@ -75,3 +75,74 @@ def test_query_against_the_marked_article(spark):
         body = re.search(r"<article>(.*?)</article>", pages[row.page_id], re.S)[1]
         want = " ".join(html.unescape(re.sub(r"<[^>]+>", "\x00", body)).replace("\x00", " ").split())
         assert row.text == want and row.n_chars == len(want)
+
+
+LONG = "This paragraph has enough words in it to be taken for the main text of a page about something or other. " * 2
+FOUND_WRONG = [
+    # a menu of plain blocks without links, and a closing line
+    (f"<body><div>Home</div><div>About</div><div>Contact</div><h1>A title of five words</h1><p>{LONG}</p><p>{LONG}</p><div>All rights reserved 2020</div></body>", f"A title of five words {LONG}{LONG}"),
+    # a paragraph with three of eight words linked
+    ("<body><article><p>Read <a href=x>the whole story</a> about our town</p></article></body>", "Read the whole story about our town"),
+    (f"<body><h1>Some title here</h1><p>{LONG}</p><p>More on <a href=x>that old story</a> is told below.</p><p>{LONG}</p></body>", f"Some title here {LONG}More on that old story is told below. {LONG}"),
+    # classes that only sound like furniture, or like the article
+    (f"<body><div class=notice-of-law><p>{LONG}</p><p>{LONG}</p></div></body>", LONG + LONG),
+    (f"<body><article><div class=post-header><h1>Own title</h1></div><p>{LONG}</p></article></body>", f"Own title {LONG}"),
+    (f"<body><div class=article-body><p>{LONG}</p></div><div class=article-comments><p>{LONG}</p><p>me too</p></div></body>", LONG),
+]
+
+
+def test_pages_that_were_read_wrong(spark):
+    pages = spark.createDataFrame([(i, page) for i, (page, _) in enumerate(FOUND_WRONG)], "page_id long, html string")
+    for row in blocks.main_text(pages).collect():
+        assert row.text == " ".join(FOUND_WRONG[row.page_id][1].split())
+
+
+def _kept(tree, features):
+    lines = [line.strip() for line in tree.splitlines()[1:] if line.strip()]
+    import re
+
+    def node(at):
+        if lines[at].startswith("Predict"):
+            return float(lines[at].split(":")[1]) == 1.0, at + 1
+        number, limit = re.match(r"If \(feature (\d+) <= ([-\d.eE]+)\)", lines[at]).groups()
+        yes, at = node(at + 1)
+        no, at = node(at + 1)
+        return (yes if features[int(number)] <= float(limit) else no), at
+
+    return node(0)[0]
+
+
+def test_words_links_and_neighbours_decide(spark):
+    """On unmarked pages of another seed; without the method's features, or without neighbours, more goes wrong."""
+    import random
+
+    from pyspark.ml.classification import DecisionTreeClassifier
+    from pyspark.ml.linalg import Vectors
+
+    tree = blocks.trained_tree(spark)
+    for name in ("words", "links", "words_before", "words_after"):
+        assert f"feature {blocks.FEATURES.index(name)} " in tree, name
+    rng = random.Random(99)
+    held_out = [b for _ in range(150) for b in blocks.blocks_of(blocks.generated_page(rng))]
+    labelled = [("+" in b.text.split(), b.features) for b in held_out]
+
+    def share(printed, hidden=()):
+        return sum(_kept(printed, [0.0 if i in hidden else x for i, x in enumerate(f)]) == label for label, f in labelled) / len(labelled)
+
+    def without(*names):
+        hidden = {blocks.FEATURES.index(name) for name in names}
+        rows = [(Vectors.dense([0.0 if i in hidden else x for i, x in enumerate(r.features)]), r.label, r.weight) for r in blocks.labelled_blocks(spark).collect()]
+        learner = DecisionTreeClassifier(maxDepth=blocks.DEPTH, minInstancesPerNode=blocks.LEAST, weightCol="weight", seed=7)
+        return share(learner.fit(spark.createDataFrame(rows, ["features", "label", "weight"]).coalesce(1)).toDebugString, hidden)
+
+    whole = share(tree)
+    neighbours = ("words_before", "links_before", "words_after", "links_after")
+    assert whole > 0.93
+    assert without(*neighbours) < whole - 0.01
+    assert without("words", "links", *neighbours) < whole - 0.15
+
+
+def test_names_of_furniture():
+    told = {name: blocks._hints(f'class="{name}"') for name in ("ad-slot", "cookie-notice", "CommentList", "sidebar left", "notice-of-law", "entry-header", "site-header", "article-comments", "article-body", "postNavigation", "headline")}
+    assert [name for name, (furniture, _) in told.items() if furniture] == ["ad-slot", "cookie-notice", "CommentList", "sidebar left", "site-header", "article-comments", "postNavigation"]
+    assert [name for name, (_, article) in told.items() if article] == ["article-body"]
