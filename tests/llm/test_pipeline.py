@@ -31,17 +31,17 @@ def test_run_equals_plain_steps(spark):
     groups = grouped([(d, r.text) for d, r in left.items()], size=5)
     left = {d: r for d, r in left.items() if groups[d] == d}
     left = {d: r for d, r in left.items() if not contaminated(r.text, items)[1]}
-    counts = {}
+    counts, pairs = {}, secret_scan.pairs_of(r.text or "" for r in left.values())
     for r in left.values():
         for start, end, value, decoy in secret_scan.candidates(r.text, secret_scan.known_spans(r.text)):
-            key = secret_scan.length_class(end - start), decoy, secret_scan.score_bin(value)
+            key = secret_scan.length_class(end - start), decoy, secret_scan.score_bin(value, pairs)
             counts[key] = counts.get(key, 0) + 1
-    last = secret_scan.thresholds([(*key, n) for key, n in counts.items()])
+    last = secret_scan.thresholds([(*key, n) for key, n in counts.items()], pairs=pairs)
     tokens = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     reference = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks={t: i for i, t in enumerate(tokens)}, special_tokens={})
     want = {}
     for d, r in left.items():
-        text = secret_scan.redacted(r.text, secret_scan.spans_of(r.text, last))
+        text = secret_scan.redacted(r.text, secret_scan.spans_of(r.text, last, pairs))
         ids = np.array(reference.encode_ordinary(text), "<u4")
         want[d] = (r.lang, r.source, len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest(), ids.tobytes())
     got = {r[0]: (*r[1:6], bytes(r.token_bytes)) for r in corpus_pipeline.run(spark, FOLDER).collect()}

@@ -51,12 +51,12 @@ def test_thresholds_follow_decoys():
 
 
 def _flagged(texts):
-    counts = sec.Counter()
+    counts, pairs = sec.Counter(), sec.pairs_of(texts)
     for text in texts:
         for start, end, value, decoy in sec.candidates(text, sec.known_spans(text)):
-            counts[sec.length_class(end - start), decoy, sec.score_bin(value)] += 1
-    last = sec.thresholds([(*key, n) for key, n in counts.items()])
-    return [text[start:end] for text in texts for start, kind, end in sec.spans_of(text, last) if kind == 3]
+            counts[sec.length_class(end - start), decoy, sec.score_bin(value, pairs)] += 1
+    last = sec.thresholds([(*key, n) for key, n in counts.items()], pairs=pairs)
+    return [text[start:end] for text in texts for start, kind, end in sec.spans_of(text, last, pairs) if kind == 3]
 
 
 def test_one_key_is_found_whatever_the_number_of_words():
@@ -83,6 +83,37 @@ def test_ordinary_strings_are_seldom_taken_for_random():
     assert sum(bool(_flagged([path])) for path in paths[:500]) <= 10
 
 
+RECALL = {
+    "hex": (0.9, 0.9, None, None, None, None), "HEX": (0.9, 0.9, 0.9, 0.9, 0.9, 0.9), "base32": (0.8, 0.9, 0.9, 0.9, 0.9, 0.9), "base36": (0.85, 0.9, 0.9, 0.9, 0.9, 0.9),
+    "BASE36": (0.85, 0.9, 0.9, 0.9, 0.9, 0.9), "base62": (0.8, 0.9, 0.9, 0.9, 0.9, 0.9), "base64": (0.8, 0.9, 0.9, 0.9, 0.9, 0.9), "base64url": (0.8, 0.9, 0.9, 0.9, 0.9, 0.9),
+}
+
+
+def test_recall_by_encoding_and_length(spark):
+    """200 keys of one kind among the documents of a test table; longer hexadecimal ones are known shapes."""
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    table = sum(map(sec.pair_counts_of, texts))
+    ordinary = [(sec.length_class(e - s), d, v) for t in texts for s, e, v, d in sec.candidates(t, sec.known_spans(t))]
+    for name, wanted in RECALL.items():
+        for length, least in zip((16, 20, 24, 32, 40, 64), wanted):
+            if least is None:
+                continue
+            rng = random.Random(length)
+            lines = [f"key {''.join(rng.choices(dict(sec.ALPHABETS)[name], k=length))} here" for _ in range(200)]
+            pairs = sec.Pairs(table + sum(map(sec.pair_counts_of, lines)))
+            counts = sec.Counter((c, d, sec.score_bin(v, pairs)) for c, d, v in ordinary)
+            counts.update((sec.length_class(e - s), d, sec.score_bin(v, pairs)) for t in lines for s, e, v, d in sec.candidates(t, []))
+            last = sec.thresholds([(*key, n) for key, n in counts.items()], pairs=pairs)
+            assert sum(bool(sec.spans_of(t, last, pairs)) for t in lines) >= least * 200, (name, length)
+
+
+def test_words_in_capitals_are_no_secrets(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()]
+    loud = " ".join(word.upper() for word in sec._LONG_WORDS)
+    mixed = "SomeVeryLongClassNameFactory getElementsByTagNameAndClass /usr/share/python3/dist-packages MAX_NUMBER_OF_ITEMS_PER_PAGE 2024-01-15_report_final"
+    assert _flagged([*texts, loud, mixed]) == []
+
+
 def test_tables(spark):
     rng = random.Random(3)
     words = ["Responsibilitiesofthe", "internationalisation", "characteristicsofsome", "misunderstandingsallof"] * 100

@@ -3,10 +3,12 @@
 Known shapes are assignments to a secret's name, access keys and long hexadecimal strings.  Every other run of at least
 :data:`LEAST` key characters is a candidate, but for plain numbers.  Its encoding is inferred as the smallest alphabet that has all of its
 characters, and three tests ask whether it could be a uniform draw from that alphabet: chi-squared uniformity of the
-characters, number of runs above and below the middle, and serial correlation.  The smallest of the three p-values,
-times three, is the candidate's score: ordinary words have low scores, the lower the longer they are.
+characters, number of runs above and below the middle, and serial correlation.  A fourth one weighs the draw against the
+table's own way of writing: how often one character follows another is counted over all its texts, and the likelihood of
+the candidate under these pairs is compared with what it would be for uniform draws.  The smallest of the four p-values,
+times four, is the candidate's score: ordinary words have low scores, the lower the longer they are.
 
-Which score is high enough is decided by length.  Candidates that look like words (letters alone, in one case or with a
+Which score is high enough is decided by length.  Candidates that look like words (small letters alone, or after a
 capital) serve as decoys, with a fixed sample of long words beside those of the table: the share of decoys that reach a
 score estimates the share of ordinary strings among the other candidates that do.  As every further letter of a word is
 further evidence, this share is taken to fall by the same factor with each; the factor is fitted over the decoys of all
@@ -25,9 +27,9 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
-from functools import cache
+from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +42,7 @@ LEAST = 16
 RATE = 0.01
 BINS = 40  # of scores, ten to each power of ten
 CLASS_CHARS, CLASSES = 4, 16
+PRIOR = 500  # pairs after one character that the fixed words stand for
 WEIGHT = 100  # decoys of its own at which a length class counts as much as the trend
 REPLACEMENT = "[secret]"
 
@@ -48,7 +51,7 @@ _ASSIGN = re.compile(r"(?ai:password|passwd|secret|token|api_?key)[\"']?\x20*[:=
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
-_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+_WORD = re.compile(r"[A-Z]?[a-z]+")
 
 # The alphabets of common encodings, in their order.
 _DIGITS, _LOWER, _UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -78,6 +81,10 @@ extraordinairement institutionnalisation approvisionnements chronologiquement in
 electroencefalografista internacionalizacion responsabilidades desafortunadamente contrarrevolucionario
 caracteristicamente institucionalizado extraordinariamente constitucionalidad independientemente
 """.split()
+_WIDE_PLACES = {c: i for i, c in enumerate(ALPHABETS[-1][1])}
+WIDEST = len(_WIDE_PLACES)
+_CODE_OF_BYTE = np.full(256, WIDEST, np.int64)
+_CODE_OF_BYTE[[ord(c) for c in _WIDE_PLACES]] = list(_WIDE_PLACES.values())
 _PLACES = [{c: i for i, c in enumerate(chars)} for _, chars in ALPHABETS]
 
 
@@ -135,20 +142,69 @@ def serial_p(values: list[int]) -> float:
     return _two_sided((r + 1 / n) * math.sqrt(n))
 
 
-def score(value: str) -> float:
-    """Three times the smallest p-value of the battery, at most 1; high for random strings."""
+def pair_counts_of(text: str) -> np.ndarray:
+    """How often each key character follows each other one in a text (flat, by place in the widest alphabet)."""
+    codes = _CODE_OF_BYTE[np.frombuffer(text.encode("utf-8", "replace"), np.uint8)]
+    first, second = codes[:-1], codes[1:]
+    both = (first < WIDEST) & (second < WIDEST)
+    return np.bincount(first[both] * WIDEST + second[both], minlength=WIDEST * WIDEST)
+
+
+class Pairs:
+    """The likelihood of a string under counted character pairs, against uniform draws from an alphabet."""
+
+    def __init__(self, counts: np.ndarray) -> None:
+        seen = pair_counts_of(" ".join(_LONG_WORDS)).reshape(WIDEST, WIDEST)
+        # In the fixed words, a character after which little was seen is taken to be followed as characters are on the
+        # whole, and a capital by capitals as its small letter is by small ones.
+        expected = np.repeat((seen.sum(axis=0) + 0.5)[None, :] / (seen.sum() + 0.5 * WIDEST), WIDEST, axis=0)
+        counts = counts.reshape(WIDEST, WIDEST)
+        upper, lower = ([_WIDE_PLACES[c] for c in letters] for letters in (_UPPER, _LOWER))
+        small = (seen + counts)[np.ix_(lower, lower)]
+        expected[np.ix_(upper, upper)] += (small + 0.5) / (small.sum(axis=1, keepdims=True) + 13)
+        base = (seen + 20 * expected) / (seen.sum(axis=1, keepdims=True) + 20)
+        # The table's pairs count beside these, so that a key in a small table does not pass for its way of writing.
+        self.logs = np.log((counts + PRIOR * base) / (counts.sum(axis=1, keepdims=True) + PRIOR))
+        self.rows = self.logs.tolist()
+        self.uniform = []
+        for _, chars in ALPHABETS:
+            own = [_WIDE_PLACES[c] for c in chars]
+            cells = self.logs[np.ix_(own, own)]
+            self.uniform.append((float(cells.mean()), float(cells.std())))
+
+    def p(self, body: str, number: int) -> float:
+        """The chance that a uniform draw from the alphabet is as likely under the pairs; low for ordinary writing."""
+        places = [_WIDE_PLACES[c] for c in body]
+        n = len(places) - 1
+        mean, spread = self.uniform[number]
+        if n < 1 or not spread:
+            return 1.0
+        total = sum(self.rows[a][b] for a, b in zip(places, places[1:]))
+        return 0.5 * math.erfc((total - n * mean) / (spread * math.sqrt(n)) / math.sqrt(2))
+
+
+def pairs_of(texts: Iterable[str]) -> Pairs:
+    """The pairs of a few texts."""
+    return Pairs(sum((pair_counts_of(text) for text in texts), np.zeros(WIDEST * WIDEST, np.int64)))
+
+
+def score(value: str, pairs: Pairs | None = None) -> float:
+    """The smallest p-value of the battery times the number of tests, at most 1; high for random strings."""
     number = encoding(value)
     places = _PLACES[number]
     body = value.rstrip("=")
     if not body:
         return 0.0
     values, k = [places[c] for c in body], len(places)
-    return min(1.0, 3 * min(chi_squared_p(values, k), runs_p(values, k), serial_p(values)))
+    found = [chi_squared_p(values, k), runs_p(values, k), serial_p(values)]
+    if pairs is not None:
+        found.append(pairs.p(body, number))
+    return min(1.0, len(found) * min(found))
 
 
-def score_bin(value: str) -> int:
+def score_bin(value: str, pairs: Pairs | None = None) -> int:
     """0 for the best score; the last bin for all low ones."""
-    s = score(value)
+    s = score(value, pairs)
     return BINS if s <= 0 else min(BINS, int(-10 * math.log10(s)))
 
 
@@ -174,7 +230,26 @@ def candidates(text: str, known: list[tuple[int, int, int]]) -> Iterator[tuple[i
         yield start, end, match[0], _WORD.fullmatch(match[0]) is not None
 
 
-def histogram(docs: DataFrame, text: str = "text") -> DataFrame:
+def counted_pairs(docs: DataFrame, text: str = "text") -> Pairs:
+    """The character pairs of all texts of a table; a few thousand numbers come to the driver."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(WIDEST * WIDEST, np.int64)
+        for batch in batches:
+            for part in slices(batch):
+                counts += pair_counts_of("\n".join(texts_of(part.column(0))))
+        seen = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(seen.astype(np.int32)), pa.array(counts[seen])], names=["pair", "n"])
+
+    ship(docs.sparkSession)
+    parts = docs.select(F.col(text).alias("text")).mapInArrow(count, "pair int, n long")
+    whole = np.zeros(WIDEST * WIDEST, np.int64)
+    for pair, n in parts.groupBy("pair").agg(F.sum("n")).collect():
+        whole[pair] = n
+    return Pairs(whole)
+
+
+def histogram(docs: DataFrame, text: str = "text", pairs: Pairs | None = None) -> DataFrame:
     """(length_class, decoy, bin, n) over all candidates of a table."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,7 +258,7 @@ def histogram(docs: DataFrame, text: str = "text") -> DataFrame:
             for part in slices(batch):
                 for body in texts_of(part.column(0)):
                     for start, end, value, decoy in candidates(body, known_spans(body)):
-                        counts[length_class(end - start), decoy, score_bin(value)] += 1
+                        counts[length_class(end - start), decoy, score_bin(value, pairs)] += 1
         rows = [(*key, n) for key, n in counts.items()]
         columns = list(zip(*rows)) if rows else [[], [], [], []]
         types = [pa.int32(), pa.bool_(), pa.int32(), pa.int64()]
@@ -194,10 +269,9 @@ def histogram(docs: DataFrame, text: str = "text") -> DataFrame:
     return parts.groupBy("length_class", "decoy", "bin").agg(F.sum("n").alias("n"))
 
 
-@cache
-def _sample() -> Counter:
+def _sample(pairs: Pairs | None) -> Counter:
     """(length class, bin) of the fixed decoys, counted."""
-    return Counter((length_class(len(word)), score_bin(word)) for word in _LONG_WORDS)
+    return Counter((length_class(len(word)), score_bin(word, pairs)) for word in _LONG_WORDS)
 
 
 def _decay(passed: int, sizes: list[int]) -> float:
@@ -225,9 +299,9 @@ def shares(decoys: Counter) -> list[list[float]]:
     return out
 
 
-def thresholds(counts: list[tuple[int, bool, int, int]], rate: float = RATE) -> list[int]:
+def thresholds(counts: list[tuple[int, bool, int, int]], rate: float = RATE, pairs: Pairs | None = None) -> list[int]:
     """For every length class the last bin that is taken for random, -1 for none."""
-    decoys, others = Counter(_sample()), Counter()
+    decoys, others = _sample(pairs), Counter()
     for length, decoy, number, times in counts:
         (decoys if decoy else others)[length, number] += times
     last = []
@@ -242,13 +316,13 @@ def thresholds(counts: list[tuple[int, bool, int, int]], rate: float = RATE) ->
     return last
 
 
-def spans_of(text: str, last: list[int]) -> list[tuple[int, int, int]]:
+def spans_of(text: str, last: list[int], pairs: Pairs | None = None) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of all spans of a text, ascending."""
     known = known_spans(text)
     random = [
         (start, 3, end)
         for start, end, value, decoy in candidates(text, known)
-        if not decoy and score_bin(value) <= last[length_class(end - start)]
+        if not decoy and score_bin(value, pairs) <= last[length_class(end - start)]
     ]
     return sorted(known + random)
 
@@ -265,14 +339,15 @@ def redacted(text: str, spans: list[tuple[int, int, int]], replacement: str = RE
 
 def find_secrets(docs: DataFrame, text: str = "text", rate: float = RATE) -> DataFrame:
     """``docs`` with ``secrets`` (kind, start, end; by start, then kind) and ``redacted`` text (null stays null)."""
-    rows = histogram(docs, text).collect()  # at most classes x bins x 2
-    last = thresholds([tuple(row) for row in rows], rate)
+    pairs = counted_pairs(docs, text)
+    rows = histogram(docs, text, pairs).collect()  # at most classes x bins x 2
+    last = thresholds([tuple(row) for row in rows], rate, pairs)
 
     def prepare():
         def work(column: pa.Array) -> list:
             spans, texts = [], []
             for body in column.to_pylist():
-                found = spans_of(body or "", last)
+                found = spans_of(body or "", last, pairs)
                 spans.append([{"kind": KINDS[kind], "start": start, "end": end} for start, kind, end in found])
                 texts.append(redacted(body, found) if found else body)
             return [spans, texts]
