@@ -57,4 +57,6 @@ def test_query_on_held_out_rows(spark):
     rows = QUERIES["op10_toxicity"](spark, folder).collect()
     assert len(rows) == 1000 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.3) for r in rows)
     held = [(r.predicted, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
-    assert sum(p == t for p, t in held) / len(held) > 0.85
+    hits, said, toxic = sum(p and t for p, t in held), sum(p for p, _ in held), sum(t for _, t in held)
+    assert toxic >= 10 and hits / toxic >= 0.5 and hits / said > 0.75  # few labels here; "never toxic" has no hits at all
+    assert sum(p == t for p, t in held) / len(held) > 0.9
