@@ -14,4 +14,4 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_all_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES if name.startswith("op")) == list(range(1, 14))

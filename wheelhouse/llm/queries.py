@@ -45,7 +45,12 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
        n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
        NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words OR 10 * n_symbols > n_words
             OR 100 * n_dup_lines > 60 * n_lines OR 10 * n_marks > 3 * n_words
-            OR word_chars < 2 * n_words OR word_chars > 30 * n_words) AS kept
+            OR word_chars < 2 * n_words OR word_chars > 30 * n_words) AS kept,
+       n_lines, n_marks,
+       CAST(CASE WHEN n_words < 50 THEN 1 ELSE 0 END + CASE WHEN 100 * n_repeat_words > 50 * n_words THEN 2 ELSE 0 END
+            + CASE WHEN 10 * n_symbols > n_words THEN 4 ELSE 0 END + CASE WHEN 100 * n_dup_lines > 60 * n_lines THEN 8 ELSE 0 END
+            + CASE WHEN 10 * n_marks > 3 * n_words THEN 16 ELSE 0 END + CASE WHEN word_chars < 2 * n_words THEN 32 ELSE 0 END
+            + CASE WHEN word_chars > 30 * n_words THEN 64 ELSE 0 END AS BIGINT) AS failed_bits
 FROM measured
 """
 
@@ -54,7 +59,24 @@ FROM measured
 def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     """The ledger of all documents with the verdict of the default policy."""
     rows = quality.quality_verdicts(table(spark, folder, "documents").select("doc_id", "text"))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_lines", "n_marks", "failed_bits")
+
+
+ABLATIONS_SQL = f"""
+WITH ledger AS ({QUALITY_SQL}),
+rules AS (SELECT * FROM (VALUES ('few_words', 1), ('repeated_windows', 2), ('many_symbols', 4), ('repeated_lines', 8),
+                                ('many_marks', 16), ('short_words', 32), ('long_words', 64)) AS v(rule, bit))
+SELECT rule, count(*) AS n_rows, count(*) FILTER (WHERE failed_bits & bit <> 0) AS n_fail,
+       count(*) FILTER (WHERE failed_bits = bit) AS n_only_this, count(*) FILTER (WHERE failed_bits IN (0, bit)) AS n_kept_without
+FROM ledger, rules GROUP BY rule
+"""
+
+
+@query("quality_ablations", ABLATIONS_SQL)
+def quality_ablations(spark: SparkSession, folder: str) -> DataFrame:
+    """What every rule of the default policy does beside the others, over the ledger of all documents."""
+    rows = quality.ledger(table(spark, folder, "documents").select("text"))
+    return quality.ablations(rows, quality.DEFAULT)
 
 
 @query("op7_byte_bpe")
