@@ -24,6 +24,8 @@ class WindowTable:
     mark that closed their window, so the sums and the late rows together are all rows.  Rows without event time belong to
     no window and are late without a mark.
 
+    Keys are kept as text, sums as whole numbers; a sum of nothing but NULLs is NULL.
+
     Every ``every`` batches the whole state is written along, so that a batch reads the latest of those and the changes
     after it, not all changes ever made.
     """
