@@ -14,6 +14,7 @@ from wheelhouse.operators.joins import lookup, sized
 SHARE = 0.001
 #: Keys the sketch counts at a time; every key with more than about one row in that many is among them.
 TRACKED = 8192
+MOST = 250_000  # hashes of one list; the sketch tracks four times as many at most
 
 
 def _whole(columns: Sequence[str]) -> Column:
@@ -46,10 +47,10 @@ def hot_keys(df: DataFrame, *keys: Sequence[str], share: float = SHARE, min_rows
     """The frequent keys over each of several lists of columns, measured in one pass.
 
     A frequent-items sketch runs in every task and is merged, so the keys themselves are never shuffled; what comes to
-    the driver is at most ``1 / share`` hashes for each list.  A key is frequent with ``share`` of all rows, and with
+    the driver is at most ``1 / share`` hashes for each list (and :data:`MOST`).  A key is frequent with ``share`` of all rows, and with
     ``min_rows`` of them, as fewer are no burden for a task.  NULL keys are left out.
     """
-    most = max(1, round(1 / share))
+    most = min(max(1, round(1 / share)), MOST)
 
     def sketch(columns: Sequence[str]) -> Column:
         return F.call_function("approx_top_k", F.when(_whole(columns), _hash(columns)), F.lit(most), F.lit(max(TRACKED, 4 * most)))
