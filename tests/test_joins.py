@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from wheelhouse.catalog import ORACLES, QUERIES
 from wheelhouse.operators import joins, keys, limits, quality
 
 EPOCH = dt.datetime(2020, 1, 1)
@@ -202,6 +203,14 @@ def test_constraints(spark, rows):
     assert rows(quality.outside_set(df, "v", ["a", "b"])) == [(None, "c")]
 
 
+def test_cap_is_that_of_the_export(spark, tmp_path):
+    """Rides come in any order; all 15,000 that the export takes are there, the lowest numbers first."""
+    orders = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("o_orderkey"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("o_orderdate"))
+    orders.write.parquet(str(tmp_path / "orders.parquet"))
+    assert [r.ride_id for r in QUERIES["limit_cap"](spark, str(tmp_path)).collect()] == list(range(15_000))
+    assert "LIMIT 15000" in ORACLES["limit_cap"]
+
+
 # --- as-of lookups far outside ordinary histories --------------------------------------------------
 
 
