@@ -203,6 +203,17 @@ def test_constraints(spark, rows):
     assert rows(quality.outside_set(df, "v", ["a", "b"])) == [(None, "c")]
 
 
+def test_parents_of_a_constraint_are_not_broadcast(spark, rows, final_plan):
+    """However small Spark takes them to be: values are counted first, and the counts meet the parents sorted."""
+    child = spark.range(1000).select(F.when(F.col("id") % 7 != 0, F.concat(F.lit("s-"), F.col("id") % 10)).alias("k"))
+    parent = spark.createDataFrame([("s-0",), ("s-1",), ("s-1",), (None,)], "id string")
+    got = quality.orphans(child, "k", parent, "id")
+    wanted = [(f"s-{k}", sum(n % 7 != 0 for n in range(k, 1000, 10))) for k in range(2, 10)]
+    assert got.columns == ["key", "row_count"] and rows(got) == wanted
+    text = final_plan(got)
+    assert "BroadcastHashJoin" not in text and text.index("LeftAnti") < text.index("partial_count")
+
+
 def test_cap_is_that_of_the_export(spark, tmp_path):
     """Rides come in any order; all 15,000 that the export takes are there, the lowest numbers first."""
     orders = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("o_orderkey"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("o_orderdate"))

@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Foreign-key values without a parent, with the number of rows that carry each; NULL is allowed.
 
-    The child is counted per value first: the join then sees each value once, however often it occurs.
+    The child is counted per value first: the join then sees each value once, however often it occurs. Spark
+    would put an anti-join that it takes for a small one below the count, and estimates keys built from stored
+    columns far too low; a condition on the count keeps the join above it. The parents are sorted on disk where
+    they do not fit, and never broadcast: the counts lie by key already, so only the parents' keys are moved.
     """
     used = child.where(F.col(child_key).isNotNull()).groupBy(F.col(child_key).alias("key"))
     counted = used.agg(F.count(F.lit(1)).alias("row_count"))
-    return counted.join(parent.select(F.col(parent_key).alias("key")), "key", "left_anti")
+    known = parent.select(F.col(parent_key).alias("__parent_key")).hint("merge")
+    matches = (F.col("key") == F.col("__parent_key")) & (F.col("row_count") > 0)
+    return counted.join(known, matches, "left_anti")
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
